@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import read
+from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.quality import STOP_WORDS, quality
+from tidemark.llm.urlfilter import url_filter
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +17,24 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+#: The rules of the registered query: host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, URL_RULES))} AS t(host, path, verdict)")
+    return url_filter(read(spark, sf_dir, "pages", "page_id", "url"), rules)
+
+
 QUERIES = {
+    "op4_near_duplicates": op4_near_duplicates,
     "op8_quality_rules": op8_quality_rules,
+    "op9_url_filters": op9_url_filters,
 }
 
 _STOP = ", ".join(f"'{x}'" for x in dict.fromkeys(STOP_WORDS))
@@ -24,7 +43,7 @@ OP8_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
 win AS (SELECT k, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
 hits AS (
@@ -33,14 +52,14 @@ covered AS (
   SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest([i, i + 1, i + 2]) AS p FROM hits WHERE c > 1) GROUP BY k),
 m AS (
   SELECT d.doc_id, len(w)::BIGINT AS n_words,
-         coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+         coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
          greatest(len(w), 1)::DOUBLE AS one, greatest(len(l), 1)::DOUBLE AS lines,
          length(regexp_replace(text, '[^\pL]+', '', 'g')) AS alpha,
-         len(list_filter(w, x -> lower(x) IN ({_STOP}))) AS stops,
-         len(list_filter(w, x -> contains(x, '|'))) AS bars,
-         len(list_filter(w, x -> x LIKE '%!!')) AS shouts
+         len(list_filter(w, lambda x: lower(x) IN ({_STOP}))) AS stops,
+         len(list_filter(w, lambda x: contains(x, '|'))) AS bars,
+         len(list_filter(w, lambda x: x LIKE '%!!')) AS shouts
   FROM d LEFT JOIN covered c USING (k))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR n_repeat_words / one > 0.5 AS base_failed,
@@ -51,6 +70,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
+OP9_SQL = r"""
+WITH u AS (
+  SELECT row_number() OVER () AS k, page_id,
+         CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (
+  SELECT k, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM u),
+r(rh, rp, rv) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+f AS (
+  SELECT p.k, r.*, row_number() OVER (PARTITION BY p.k ORDER BY length(rh) + length(rp) DESC, length(rh) DESC) AS n
+  FROM p JOIN r ON (p.host = rh OR p.host LIKE '%.' || rh) AND starts_with(p.path, rp))
+SELECT p.page_id, p.host, p.path, f.rh || f.rp AS rule, coalesce(f.rv, 'allow') AS verdict
+FROM p LEFT JOIN f ON p.k = f.k AND f.n = 1
+"""
+
 ORACLE = {
     "op8_quality_rules": OP8_SQL,
+    "op9_url_filters": OP9_SQL,
 }
