@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import read
+from tidemark.llm.htmltext import extract
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.quality import STOP_WORDS, quality
 from tidemark.llm.urlfilter import url_filter
@@ -22,6 +23,10 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 #: The rules of the registered query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -33,6 +38,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_html_text": op5_html_text,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
 }
