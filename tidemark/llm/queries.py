@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read
+from tidemark.llm.common import crc_mod, read
 from tidemark.llm.htmltext import extract
+from tidemark.llm.langid import language
+from tidemark.llm.lm import lm_scores
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.quality import STOP_WORDS, quality
+from tidemark.llm.toxicity import toxicity
 from tidemark.llm.urlfilter import url_filter
 
 
@@ -18,6 +21,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "toxic")
+    scored = toxicity(docs, labels, crc_mod("doc_id", 5) != 0)
+    return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -27,6 +36,16 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scores(read(spark, sf_dir, "documents", "doc_id", "text"), crc_mod("doc_id", 5) != 1)
+    return scored.select("doc_id", (crc_mod("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language(read(spark, sf_dir, "documents", "doc_id", "text", "lang"), crc_mod("doc_id", 4) != 2)
+    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 #: The rules of the registered query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -37,8 +56,11 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_html_text": op5_html_text,
+    "op6_lm_scores": op6_lm_scores,
+    "op7_language": op7_language,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
 }
