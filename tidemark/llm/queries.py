@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import crc_mod, read
+from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.htmltext import extract
 from tidemark.llm.langid import language
 from tidemark.llm.lm import lm_scores
@@ -21,6 +22,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "toxic")
     scored = toxicity(docs, labels, crc_mod("doc_id", 5) != 0)
@@ -56,6 +61,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_toxicity": op3_toxicity,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_html_text": op5_html_text,
