@@ -12,6 +12,7 @@ from tidemark.llm.langid import language
 from tidemark.llm.lm import lm_scores
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.quality import STOP_WORDS, quality
+from tidemark.llm.substrings import passages
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.urlfilter import url_filter
 
@@ -60,6 +61,10 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(read(spark, sf_dir, "pages", "page_id", "url"), rules)
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_toxicity": op3_toxicity,
@@ -69,6 +74,7 @@ QUERIES = {
     "op7_language": op7_language,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
+    "op10_substrings": op10_substrings,
 }
 
 _STOP = ", ".join(f"'{x}'" for x in dict.fromkeys(STOP_WORDS))
