@@ -120,29 +120,28 @@ def measures(text: Column) -> dict[str, Column]:
     }
 
 
-def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base_rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
-    """One row per document: the measures, ``base_failed`` and ``kept``.
-
-    ``n_repeat_words`` compares 64-bit hashes of 3-word windows inside one document.
-    """
-    text = text_or_empty()
-    m = docs.select("doc_id", *[c.alias(k) for k, c in measures(text).items()])
-    n = F.size("w").cast("long")
-    counted = m.select(
-        "doc_id",
+def measured(rows: DataFrame, text: Column, *carried: str) -> DataFrame:
+    """The carried columns with the counts over a text."""
+    m = rows.select(*carried, *[c.alias(f"_{k}") for k, c in measures(text).items()])
+    n = F.size("_w").cast("long")
+    return m.select(
+        *carried,
         n.alias("n_words"),
-        "word_chars",
-        "n_symbols",
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        n_repeat_words(F.col("w")).alias("n_repeat_words"),
-        F.size("lines").cast("long").alias("n_lines"),
-        "n_alpha",
-        F.size(F.filter("w", lambda x: F.lower(x).isin(STOP_WORDS))).alias("n_stop"),
-        F.size(F.filter("w", lambda x: x.contains("|"))).alias("n_bars"),
-        F.size(F.filter("w", lambda x: x.endswith("!!"))).alias("n_shouts"),
+        F.col("_word_chars").alias("word_chars"),
+        F.col("_n_symbols").alias("n_symbols"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        n_repeat_words(F.col("_w")).alias("n_repeat_words"),
+        F.size("_lines").cast("long").alias("n_lines"),
+        F.col("_n_alpha").alias("n_alpha"),
+        F.size(F.filter("_w", lambda x: F.lower(x).isin(STOP_WORDS))).alias("n_stop"),
+        F.size(F.filter("_w", lambda x: x.contains("|"))).alias("n_bars"),
+        F.size(F.filter("_w", lambda x: x.endswith("!!"))).alias("n_shouts"),
     )
+
+
+def _ratios() -> dict[str, Column]:
     words_ = F.greatest(F.col("n_words"), F.lit(1))
-    ratio = {
+    return {
         "n_words": F.col("n_words"),
         "mean_word_chars": F.col("word_chars") / words_,
         "symbol_ratio": F.col("n_symbols") / words_,
@@ -154,18 +153,34 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base_rules: tuple[
         "alpha_ratio": F.col("n_alpha") / F.greatest(F.col("word_chars"), F.lit(1)),
     }
 
-    def failed(table: tuple[Rule, ...]) -> Column:
-        out = F.lit(False)
-        for r in table:
-            if r.least is not None:
-                out = out | (ratio[r.measure] < F.lit(r.least))
-            if r.most is not None:
-                out = out | (ratio[r.measure] > F.lit(r.most))
-        return out
 
+def failed(table: tuple[Rule, ...]) -> Column:
+    """Whether any rule of the table fails, over the columns of ``measured``."""
+    ratio, out = _ratios(), F.lit(False)
+    for r in table:
+        if r.least is not None:
+            out = out | (ratio[r.measure] < F.lit(r.least))
+        if r.most is not None:
+            out = out | (ratio[r.measure] > F.lit(r.most))
+    return out
+
+
+def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base_rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
+    """One row per document: the measures, ``base_failed`` and ``kept``.
+
+    ``n_repeat_words`` compares 64-bit hashes of 3-word windows inside one document.
+    """
+    counted = measured(docs.select("doc_id", "text"), text_or_empty(), "doc_id")
     base = failed(base_rules)
     return counted.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base.alias("base_failed"), (~base & ~failed(rules)).alias("kept"),
-        *[F.round(ratio[k], 6).alias(k) for k in ("symbol_ratio", "stop_ratio", "dup_line_ratio", "alpha_ratio")],
+        *[F.round(v, 6).alias(k) for k, v in _ratios().items() if k in ("symbol_ratio", "stop_ratio", "dup_line_ratio", "alpha_ratio")],
     )
+
+
+def kept_rows(docs: DataFrame, columns: list[str], rules: tuple[Rule, ...] = RULES, base_rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
+    """The named columns of the documents that pass all rules, without a join: rows are filtered where they are read."""
+    carried = docs.select(F.struct(*columns).alias("_row"))
+    counted = measured(carried, F.coalesce(F.col("_row.text"), F.lit("")), "_row")
+    return counted.filter(~failed(base_rules) & ~failed(rules)).select("_row.*")

@@ -11,6 +11,7 @@ from tidemark.llm.htmltext import extract
 from tidemark.llm.langid import language
 from tidemark.llm.lm import lm_scores
 from tidemark.llm.neardup import near_duplicates
+from tidemark.llm.pieces import encoded
 from tidemark.llm.quality import STOP_WORDS, quality
 from tidemark.llm.substrings import passages
 from tidemark.llm.toxicity import toxicity
@@ -27,6 +28,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "toxic")
     scored = toxicity(docs, labels, crc_mod("doc_id", 5) != 0)
@@ -67,6 +72,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_pieces": op2_pieces,
     "op3_toxicity": op3_toxicity,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_html_text": op5_html_text,
