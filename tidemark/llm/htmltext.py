@@ -12,7 +12,7 @@ two addresses of one article share all of it. Pages without such an element lose
 has the same blocks throughout, which is a copy of the page and not a template.
 
 Defined cases: a null or empty page has an empty text; a null URL counts as an empty host and path; repeated rows
-give one result row each; the first page of a partition is aligned with the one behind it; other columns are ignored.
+give one result row each; the first page of a host or partition is aligned with the one behind it; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -172,23 +172,23 @@ def extract(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: tuple | None = None  # the first page waits for the one behind it
+        held: tuple | None = None  # a page without one of its host before it waits for the one behind it
         last: tuple | None = None
         for b in batches:
             rows = []
             for page_id, url, page, host in zip(b["page_id"], b["url"], b["html"], b["host"], strict=True):
-                now = (host, blocks(page))
-                if last is None:
-                    held = (page_id, url, *now)
+                own = blocks(page)
+                if held is not None:
+                    rows.append((*held[:2], main_text(held[2], own if last[0] == host else None)))
+                    held = None
+                if last is not None and last[0] == host:
+                    rows.append((page_id, url, main_text(own, last[1])))
                 else:
-                    if held is not None:
-                        rows.append((held[0], held[1], main_text(held[3], now[1] if held[2] == host else None)))
-                        held = None
-                    rows.append((page_id, url, main_text(now[1], last[1] if last[0] == host else None)))
-                last = now
+                    held = (page_id, url, own)
+                last = (host, own)
             yield pd.DataFrame(rows, columns=["page_id", "url", "text"])
         if held is not None:
-            yield pd.DataFrame([(held[0], held[1], main_text(held[3], None))], columns=["page_id", "url", "text"])
+            yield pd.DataFrame([(*held[:2], main_text(held[2], None))], columns=["page_id", "url", "text"])
 
     out = sorted_.select("page_id", "url", "html", "host").mapInPandas(run, f"page_id {kind}, url string, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))
