@@ -104,7 +104,7 @@ def near(queries: np.ndarray, vertical: np.ndarray, radius: int, passed: np.ndar
     Counters are kept as bit slices. Eight planes at a time go through carry-save adders; members whose count has
     passed the radius are set in ``passed``, and the rest of the planes is left alone once that holds for all.
     """
-    count = [np.zeros_like(passed) for _ in range(radius.bit_length())]
+    count = [np.zeros_like(passed) for _ in range(max(1, radius.bit_length()))]
     flipped = [np.where((queries >> np.uint64(p)) & np.uint64(1), np.uint64(2**64 - 1), np.uint64(0))[:, None] for p in range(64)]
 
     def adder(a, b, c):
@@ -120,13 +120,11 @@ def near(queries: np.ndarray, vertical: np.ndarray, radius: int, passed: np.ndar
         t1, e1 = adder(c1, c2, c3)
         twos, e2 = t1 ^ c4, t1 & c4
         fours, eights = e1 ^ e2, e1 & e2
-        carry = None
-        for k, part in enumerate((ones, twos, fours, eights)):
+        parts, carry = [ones, twos, fours, eights], np.zeros_like(passed)
+        for k in range(max(len(count), 4)):
+            part = parts[k] if k < 4 else np.zeros_like(passed)
             if k < len(count):
-                if carry is None:
-                    count[k], carry = count[k] ^ part, count[k] & part
-                else:
-                    count[k], carry = adder(count[k], part, carry)
+                count[k], carry = adder(count[k], part, carry)
             else:
                 passed |= part
         passed |= carry
