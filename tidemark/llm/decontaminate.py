@@ -17,8 +17,8 @@ Scale: the table of item shingles is broadcast while it has at most ``MOST_BROAD
 shuffle. A shingle that a third of all texts hold is many seeds but no pair of texts, as texts only meet items. All expressions are
 built in: no user function.
 
-Defined cases: null or empty texts have no shingle and match nothing; items with no word are ignored; an item
-given twice gives a row for each id; rows with a null id match under a null id; repeated rows of one document give one row; other
+Defined cases: null or empty texts have no shingle and match nothing; items without a word or an id are
+ignored; an item given twice gives a row for each id; rows with a null id match under a null id; repeated rows of one document give one row; other
 columns are ignored.
 """
 
@@ -87,7 +87,7 @@ def blocks(fp: Column, radius: int = RADIUS) -> Column:
 
 def items_of(benchmark: DataFrame) -> DataFrame:
     """Items with their words, shingle hashes and fingerprint."""
-    w = benchmark.select("item_id", lower_words(text_or_empty()).alias("item_words")).filter(F.size("item_words") > 0)
+    w = benchmark.select("item_id", lower_words(text_or_empty()).alias("item_words")).filter((F.size("item_words") > 0) & F.col("item_id").isNotNull())
     h = w.withColumn("item_shingles", shingle_hashes(hashed(F.col("item_words"))))
     return h.select("item_id", F.size("item_words").alias("n_words"), "item_shingles", simhash(F.col("item_shingles")).alias("item_fp"))
 
