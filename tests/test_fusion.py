@@ -56,3 +56,11 @@ def test_plan_has_no_python_and_no_product(spark):
 
     plan = QUERIES["fusion_topk"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "Python" not in plan and "WindowGroupLimit" in plan
+
+
+def test_no_nested_loop_over_tables(spark):
+    from tidemark.plans.queries import QUERIES
+
+    for name in ("sent_compare", "sent_lexicon", "fusion_events_flat", "entity_gkg", "audit_scores_by_model"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan, name
