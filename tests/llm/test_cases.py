@@ -2,6 +2,7 @@
 
 import collections
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +74,24 @@ def test_contaminated(spark, odd_docs, no_docs):
     assert all(r.first_word == 80 and r.words == 40 and r.similarity == 1 for r in got if r.item_id != 5)
     assert contaminated(no_docs, bench).collect() == []
     assert contaminated(odd_docs, bench.limit(0)).collect() == []
+
+
+def _own(rng, n):
+    return [f"w{v}" for v in rng.integers(0, 10**9, n)]
+
+
+def test_passages_adjacent_here_and_apart_there(spark):
+    rng, rows, want = np.random.default_rng(5), [], {}
+    for k in range(12):
+        a, b = _own(rng, 60), _own(rng, 60)
+        # Apart in the earlier document; then the other way round; then a changed block of equal length.
+        first, second = [a + _own(rng, 45) + b, a + b, _own(rng, 9) + a[:45] + _own(rng, 24) + b[:45]][k % 3], [a + b, a + _own(rng, 45) + b, a[:45] + _own(rng, 24) + b[:45]][k % 3]
+        head = _own(rng, 30)
+        rows += [(2 * k, " ".join(first)), (2 * k + 1, " ".join(head + second + _own(rng, 30)))]
+        want[2 * k + 1] = {30 + i for i, w in enumerate(second) if w in set(a + b)}
+    got = {}
+    for r in passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).update(range(r.first_word, r.first_word + r.words))
+        assert r.similarity >= 0.8
+    assert all(want[i] <= got.get(i, set()) for i in want)
+    assert all(len(got[i] - want[i]) <= 24 for i in want)  # an accepted chain may span a short changed block
