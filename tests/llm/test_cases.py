@@ -95,3 +95,15 @@ def test_passages_adjacent_here_and_apart_there(spark):
         assert r.similarity >= 0.8
     assert all(want[i] <= got.get(i, set()) for i in want)
     assert all(len(got[i] - want[i]) <= 24 for i in want)  # an accepted chain may span a short changed block
+
+
+def test_passages_whose_shingles_have_earlier_holders(spark):
+    rng = np.random.default_rng(6)
+    shared, copy = _own(rng, 60), _own(rng, 300)
+    # Each shingle of the passage alone in documents of its own, a dozen times; then two that hold all of it, one with a changed word.
+    rows = [(100 * k + i, " ".join(_own(rng, 40) + shared[i : i + 5] + _own(rng, 40))) for i in range(56) for k in range(12)]
+    rows += [(5000 + k, " ".join(_own(rng, 30) + part + _own(rng, 50))) for k, part in enumerate((shared, shared, shared[:30] + _own(rng, 1) + shared[31:]))]
+    rows += [(6000 + k, " ".join(copy)) for k in range(20)]
+    got = {r.doc_id: r for r in passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: (r.first_word, r.words, r.ref_doc_id) for i, r in got.items() if i < 6000} == {5001: (30, 60, 5000), 5002: (30, 60, 5000)}
+    assert {i: (r.words, r.ref_doc_id) for i, r in got.items() if i >= 6000} == {6000 + k: (300, 6000) for k in range(1, 20)}
