@@ -46,3 +46,29 @@ def test_odd_rows(spark, odd_docs, no_docs):
         for _, f in cp.STAGES:
             docs = f(spark, docs, SMALL)
         docs.collect()
+
+
+def _set(text):
+    w = text.encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 5 else {tuple(w)}
+
+
+def test_near_duplicates_are_those_of_shingle_similarity(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    base = [[f"w{v}" for v in rng.integers(0, 10**6, 100)] for _ in range(30)]
+    texts = []
+    for k, b in enumerate(base):
+        texts += [b, [*b[:50], "changed", *b[51:]], [*b[: 85 - k], *(f"x{k}y{i}" for i in range(15 + k))]]
+    texts += [[*base[0][:i], "z", *base[0][i + 1 :]] for i in range(20, 80, 2)]  # a band of more than SMALL_BAND classes
+    rows = [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)]
+    sets = [_set(t) for _, t, *_ in rows]
+    want = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = want[i], want[j]
+                want = [min(a, b) if c in (a, b) else c for c in want]
+    got = cp.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int"), SMALL)
+    assert {r.doc_id for r in got.collect()} == set(want)

@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
@@ -33,6 +33,10 @@ SEED = 42
 CELL = 2048
 #: Words of texts hashed in one numpy step.
 STEP = 200_000
+#: Min-hash bands and hashes to a band: a pair of similarity 0.8 meets in none with a chance of (1 - 0.8 ** 4) ** 24, 3 in a million.
+BANDS, ROWS = 24, 4
+#: Members of a band that are all compared with each other, and those that all others of a larger band are compared with.
+SMALL_BAND, HUBS = 9, 2
 
 
 def shingle_hashes(text: bytes, size: int) -> list[int]:
@@ -234,3 +238,70 @@ def near_duplicates(docs: DataFrame, radius: int = 4, size: int = 4) -> DataFram
     found = components(links(classes, radius), "a", "b")
     named = classes.join(found, classes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return fps.join(named, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+# ---- classes by shingle similarity ----
+
+
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    return np.unique(np.array(shingle_hashes((text or "").encode("utf-8", "surrogatepass"), size), np.uint64))
+
+
+def band_hashes(shingles: np.ndarray) -> np.ndarray:
+    """One hash for each band of min-hashes of a set that isn't empty."""
+    rng = np.random.default_rng(SEED)
+    factor, shift = rng.integers(0, 2**64, (2, BANDS * ROWS), np.uint64)
+    least = (shingles[None, :] * (factor | np.uint64(1))[:, None] + shift[:, None]).min(axis=1).astype("<u8").reshape(BANDS, ROWS)
+    return np.array([xxhash.xxh64_intdigest(row.tobytes(), no) for no, row in enumerate(least)], np.uint64)
+
+
+def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> DataFrame:
+    """(doc_id, component_id): classes joined by pairs whose shingle sets have a Jaccard similarity of ``least`` or more.
+
+    Texts of equal sets are one class at once. Others meet in bands of min-hashes, and each pair that meets is compared
+    by its whole sets. In a band of more than ``SMALL_BAND`` classes all are compared with a few of it, drawn anew in each band, so
+    that large groups cost a fixed number of pairs a member. Rows with a null id have no class.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [shingle_set(t, size) for t in b["text"]]
+            same = [xxhash.xxh3_128_hexdigest(g.astype("<u8").tobytes()) for g in got]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "same": same, "bands": [band_hashes(g).view(np.int64) if len(g) else [] for g in got]})
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [shingle_set(t, size).astype("<u8").tobytes() for t in b["text"]]
+            yield pd.DataFrame({"id": b["doc_id"], "shingles": got})
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b["x"], b["y"], strict=True):
+                n, m = len(x) // 8, len(y) // 8
+                both = 0
+                if min(n, m) >= least * max(n, m):
+                    both = len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True))
+                keep.append(both >= least * (n + m - both))
+            yield b.loc[keep, ["a", "b"]]
+
+    texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
+    own = stored(texts.mapInPandas(signed, f"doc_id {kind}, same string, bands array<long>"), "signed")
+    named = stored(own.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    dealt = named.select("rep", F.explode("bands").alias("band")).distinct()
+    shared = dealt.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("band")
+    some = stored(dealt.join(shared, "band"), "shared")
+    drawn = some.withColumn("nth", F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("rep", "band"), "rep"))).filter(F.col("nth") <= SMALL_BAND + 1)
+    sized = drawn.withColumn("n", F.max("nth").over(Window.partitionBy("band"))).filter((F.col("n") <= SMALL_BAND) | (F.col("nth") <= HUBS))
+    hubs = stored(sized.select("band", F.col("rep").alias("hub")), "hubs")
+    met = some.join(hubs, "band").filter("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    met = stored(met, "met")
+    # Sets are made anew for the documents that meet another, which is far less to move than all sets.
+    asked = met.select(F.col("a").alias("id")).unionAll(met.select("b")).distinct()
+    whole = stored(texts.join(asked, texts["doc_id"] == asked["id"], "left_semi").mapInPandas(sets, f"id {kind}, shingles binary").distinct(), "sets")
+    left = met.join(whole.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
+    pairs = left.join(whole.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+    found = components(pairs.mapInPandas(compare, f"a {kind}, b {kind}").distinct(), "a", "b")
+    classes = named.join(found, named["rep"] == found["node"], "left").select("same", F.coalesce("component", "rep").alias("component_id"))
+    return own.select("doc_id", "same").join(classes, "same").select("doc_id", "component_id")
