@@ -107,3 +107,26 @@ def test_passages_whose_shingles_have_earlier_holders(spark):
     got = {r.doc_id: r for r in passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {i: (r.first_word, r.words, r.ref_doc_id) for i, r in got.items() if i < 6000} == {5001: (30, 60, 5000), 5002: (30, 60, 5000)}
     assert {i: (r.words, r.ref_doc_id) for i, r in got.items() if i >= 6000} == {6000 + k: (300, 6000) for k in range(1, 20)}
+
+
+def test_passages_equal_all_pairs_brute_force_among_pieces(spark):
+    """Random pairs share 40 to 200 words, exact or with 5 % of them changed, while many earlier documents hold random pieces."""
+    rng, rows, want = np.random.default_rng(7), [], {}
+    for k in range(60):
+        shared = _own(rng, int(rng.integers(51, 201)))
+        rows += [(100 * k + 2 * i, " ".join(_own(rng, 30) + shared[(at := int(rng.integers(0, len(shared) - 14))) : at + 14] + _own(rng, 30))) for i in range(45)]
+        fuzzy = [w if k % 2 == 0 or rng.random() > 0.05 else f"n{rng.integers(0, 10**9)}" for w in shared]
+        a, b = sorted(rng.integers(0, 45, 2) * 2 + 1)
+        if a == b:
+            continue
+        rows += [(100 * k + int(a), " ".join(_own(rng, 50) + shared + _own(rng, 20))), (100 * k + int(b), " ".join(_own(rng, 40) + fuzzy + _own(rng, 30)))]
+        want[100 * k + int(b)] = (range(40, 40 + len(fuzzy)), k % 2 == 0)
+    got = {}
+    for r in passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).update(range(r.first_word, r.first_word + r.words))
+    exact = [len(set(w) & got.get(i, set())) / len(w) for i, (w, same) in want.items() if same]
+    fuzzy = [len(set(w) & got.get(i, set())) / len(w) for i, (w, same) in want.items() if not same]
+    assert len(exact) > 20 and min(exact) == 1
+    print([round(f, 2) for f in fuzzy])
+    assert len(fuzzy) > 20 and sum(fuzzy) / len(fuzzy) > 0.97
+    assert not set(got) - set(want)

@@ -121,7 +121,10 @@ def test_chains_and_alignment():
         assert common_length(a, b) == t[-1][-1]
     a = [str(i) for i in range(60)]
     b = [*"xyz", *a[:20], "q", *a[21:], *"uvw"]
-    assert align(a, b, 25, 30, 28, 33) == (0, 60, 59 / 60)
+    assert align(a, b, [(25, 30, 28, 33)]) == (0, 60, 59 / 60)
+    # Between runs of equal words the common subsequence counts, whatever the order in which overlapping runs come.
+    a, b = [str(i) for i in range(30)], [*map(str, range(10)), "x", "11", "y", *map(str, range(13, 30))]
+    assert align(a, b, [(2, 9, 2, 9), (14, 25, 14, 25)]) == (0, 30, 28 / 30)
 
 
 def test_repeats_equal_brute_force(spark):
