@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,9 +39,11 @@ def crc_mod(name: str, n: int) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is named."""
+    """The folder that driver and executors share; on a local master a temporary one where none is named, else an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -48,12 +51,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_paths: WeakKeyDictionary = WeakKeyDictionary()
+
+
 def stored(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete stored tables of which all that is still needed has been stored in turn."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(_paths.pop(t))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
