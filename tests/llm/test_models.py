@@ -6,9 +6,10 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from tidemark.llm import lm
-from tidemark.llm.langid import Parser, plain
+from tidemark.llm.langid import Parser, language, plain
 from tidemark.llm.queries import QUERIES
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -21,24 +22,46 @@ def test_language_on_held_out_rows(spark):
     assert (held.lang == held.lang_pred).mean() > 0.97
 
 
+def greedy(text, sample):
+    """Phrases of a text by searching the sample for ever longer ones."""
+    i = n = 0
+    while i < len(text):
+        size = 1
+        while i + size < len(text) and text[i : i + size + 1] in sample:
+            size += 1
+        i, n = i + size, n + 1
+    return n
+
+
 def test_cross_parsing_equals_brute_force():
     samples = [("a", plain("the cat sat on the mat and the dog ate the rest")), ("b", plain("el gato come en la mesa y el perro bebe"))]
     p = Parser(samples)
-    texts = [plain(t) for t in ("the dog sat on la mesa", "xyz the", "el perro y el gato", "ü", "a" * 2500)]
-    got = p.phrases(texts)
+    rng = np.random.default_rng(3)
+    long = " ".join(rng.choice(["the", "gato", "mesa", "dog", "sat", "perro", "on"], 22_000))
+    assert len(long) > 95_000
+    texts = ["the dog sat on la mesa", "xyz the", "El PERRO, y el\n-- gato", "ü", "a" * 2500, long, *[long[k : k + 900 + 30 * k] for k in range(60)]]
+    got = p.phrases([p.encode(t) for t in texts])
     for k, (_, s) in enumerate(samples):
-        for j, t in enumerate(texts):
-            want = 0
-            for lo in range(0, len(t), 1024):
-                part, i = t[lo : lo + 1024], 0
-                n = 0
-                while i < len(part):
-                    size = 1
-                    while i + size < len(part) and part[i : i + size + 1] in s:
-                        size += 1
-                    i, n = i + size, n + 1
-                want += n
-            assert abs(got[k, j] - want) <= sum(c not in s for c in t) + 1  # a letter that no sample has is a phrase of its own
+        for j, t in enumerate(map(plain, texts)):
+            assert abs(got[k, j] - greedy(t, s)) <= sum(c not in s for c in t)  # the root is left and reached again around a letter that no sample has
+            if set(t) <= set(s):
+                assert got[k, j] == greedy(t, s)
+    assert [p.encode(t).tolist() for t in texts] == [np.where(np.array([ord(c) for c in plain(t)]) == 32, 0, p.code[[ord(c) for c in plain(t)]]).tolist() for t in texts]
+
+
+def test_every_labelled_language_is_learned(spark):
+    rng = np.random.default_rng(4)
+    words = {k: ["".join(rng.choice(list(letters), 5)) for _ in range(300)] for k, letters in {"long": "abcdef", "short": "ghijkl", "copies": "mnopqr", "marks": "कखगघचछ"}.items()}
+    prose = lambda k, n: " ".join(rng.choice(words[k], n))
+    rows = [(prose("long", 1500), "long") for _ in range(20)] + [(prose("short", 2), "short") for _ in range(400)] + [(prose("copies", 1500), "copies")] * 3000 + [(prose("marks", 40), "marks") for _ in range(20)]
+    texts = [*[prose(k, 30) for k in words], "²½ Ⅷ 12", "", None, "\u0301", "xyz"]
+    rows += [(t, None) for t in texts]
+    docs = spark.createDataFrame([(i, t, k) for i, (t, k) in enumerate(rows)], "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language(docs, F.lit(True)).collect()}
+    assert [got[len(rows) - len(texts) + i][0] for i in range(8)] == [*words, "und", "und", "und", "und"]
+    assert got[len(rows) - 1][0] in words and all(0 <= s <= 1 for _, s in got.values())
+    assert plain("नमस्ते दुनिया") == "नमस्ते दुनिया"
+    assert all(r.lang_pred == "und" for r in language(docs, F.lit(False)).collect())
 
 
 def test_toxicity_on_held_out_rows(spark):
