@@ -6,10 +6,11 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import read
 from tidemark.llm.decontaminate import contaminated
-from tidemark.llm.htmltext import blocks, extract, main_text, shared
+from tidemark.llm.htmltext import Page, extract, main_text, shared
 from tidemark.llm.pieces import MODEL, Encoder, decoded, encoded, vocabulary
 from tidemark.llm.queries import QUERIES
 from tidemark.llm.substrings import align, chains, common_length, fragments, split
@@ -19,7 +20,7 @@ SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 def text_of(page):
-    return "\n\n".join(t for t, _ in blocks(page))
+    return "\n\n".join(Page(page).texts)
 
 
 def test_blocks():
@@ -28,7 +29,20 @@ def test_blocks():
     <aside>side</aside><form><p>mail</p></form><footer>foot</footer>"""
     assert text_of(page) == "A & B\n\none two three bold\n\nnext <x>\n\na\n\nb"
     assert text_of(None) == text_of("") == "" and text_of("plain text") == "plain text"
-    assert text_of("<p>a <!-- x --> b") == "a b" and text_of("<p>unclosed <b") == "unclosed <b"
+    assert text_of("<p>a <!-- x --> b") == "a b" and text_of("<p>unclosed <b") == "unclosed"
+    # Quotes count around values only; one that is never closed ends with its tag; what isn't a tag is text.
+    assert text_of("<p title=it's>x y</p>") == text_of("<p title='a>b' class=\"q>\">x y</p>") == text_of("<p title='open>x y</p>") == "x y"
+    assert text_of("1 < 2 <3 </ x>") == "1 < 2 <3 </ x>" and text_of('<div class="header-story"><p>text</p></div>') == "text"
+    assert text_of("<p>a<![CDATA[ b > c ]]>d<!-- open") == "ad" and text_of("<article><div>a</section>b</article></p>c") == "a\n\nb\n\nc"
+
+
+def test_scan_is_linear():
+    import time
+
+    began = time.time()
+    for page in ("<a " * 1_700_000, "<a b='" * 800_000, "<a b=\"c'>" * 500_000, "<div>" * 300_000 + "</span>" * 300_000, "<article><p>" * 200_000 + "</div></p>" * 200_000, "<!--" * 1_000_000, "<script>" * 500_000, "= " * 2_000_000):
+        Page(page)
+    assert time.time() - began < 25
 
 
 def test_shared_lines_are_a_longest_common_subsequence():
@@ -52,7 +66,27 @@ def test_template_of_neighbours_is_deleted(spark):
     assert all(got[k].text == f"story {k}" and got[k].n_chars == 7 for k in range(5))
     assert got[9].text == got[10].text == "" and got[9].n_chars == 0 and got[11].text == "Site name\n\nstory 1\n\nAbout us"
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
-    assert main_text([("a", False)], [("a", False)]) == "a"
+    assert main_text(Page("a"), "", [(Page("a"), "")]) == "a"
+
+
+def test_differencing_decides_and_does_not_depend_on_partitions(spark):
+    """Unmarked pages: template before, behind and between; an article at two addresses; repeated rows; a line that articles quote."""
+    story = lambda k: "".join(f"<p>story {k} part {i}</p>" for i in range(4)) + "<p>quoted line</p>"
+    page = lambda k, more="": f"<body><div id=page><div>Site name</div><div><h2>Title {k}</h2>{story(k)}</div><div><p>About us</p><p>Imprint{more}</p></div></div>"
+    rows = [(k, f"http://h.example/a/{k:02}", page(k)) for k in range(12)] + [(100, "http://h.example/a/05", page(5)), (101, "http://h.example/a/05", page(5)), (102, "http://h.example/a/05?x", page(5, " "))]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: "\n\n".join([f"Title {k}", *[f"story {k} part {j}" for j in range(4)], "quoted line"]) for i, k in [*[(k, k) for k in range(12)], (100, 5), (101, 5), (102, 5)]}
+    for inputs, parts in ((1, 1), (3, 3), (50, 50), (7, None)):
+        assert {r.page_id: r.text for r in extract(docs.repartition(inputs), parts).collect()} == want
+
+
+def test_pages_without_marks_keep_the_same_text(spark):
+    p = read(spark, MIDDLE, "pages", "page_id", "url", "html")
+    bare = p.withColumn("html", F.regexp_replace("html", "(</?)article", "$1div"))
+    want = {r.page_id: r.text for r in extract(p).collect()}
+    got = {r.page_id: r.text for r in extract(bare).collect()}
+    alone = [i for i in want if got[i] != want[i]]
+    assert len(want) == 250 and not alone, alone
 
 
 def test_pages_hold_their_article(spark):
