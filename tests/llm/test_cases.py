@@ -70,7 +70,7 @@ def test_contaminated(spark, odd_docs, no_docs):
     item = " ".join(f"word{i % 97} of the text{i % 89}" for i in range(20, 30))
     bench = spark.createDataFrame([(1, item, 0), (2, None, 0), (3, "", 0), (4, item, 0), (5, "a", 0), (None, item, 0)], "item_id long, text string, score int")
     got = contaminated(odd_docs, bench).collect()
-    assert {(r.doc_id, r.item_id) for r in got} == {(d, i) for d in (4, 5, 6) for i in (1, 4)} | {(10, 5)}
+    assert {(r.doc_id, r.item_id) for r in got} == {(d, i) for d in (4, 5, 6) for i in (1, 4)} | {(10, 5), (None, 5)}
     assert all(r.first_word == 80 and r.words == 40 and r.similarity == 1 for r in got if r.item_id != 5)
     assert contaminated(no_docs, bench).collect() == []
     assert contaminated(odd_docs, bench.limit(0)).collect() == []

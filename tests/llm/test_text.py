@@ -122,22 +122,34 @@ def test_contamination_equals_brute_force(spark):
     items = {i: split(t) for i, t in zip(b.item_id, b.text, strict=True)}
     df = collections.Counter(x for w in items.values() for x in set(shingles(w)))
     weight = lambda x: math.log(1 + len(items) / max(df[x], 1))
-    where = collections.defaultdict(list)
-    for i, w in items.items():
-        for q, x in enumerate(shingles(w)):
-            where[x].append((i, q))
     want = {}
     for doc, t in zip(d.doc_id, d.text, strict=True):
         w = split(t)
-        for i, at in {(i, p - q) for p, x in enumerate(shingles(w)) for i, q in where.get(x, ())}:
-            a, c = collections.Counter(shingles(w[max(0, at) : at + len(items[i])])), collections.Counter(shingles(items[i]))
-            s = sum(min(a[x], c[x]) * weight(x) for x in a | c) / sum(max(a[x], c[x]) * weight(x) for x in a | c)
-            if s >= 0.8:
-                want[doc, i] = max(want.get((doc, i), 0), s)
+        own = shingles(w)
+        for i, item in items.items():
+            theirs = collections.Counter(shingles(item))
+            if theirs.keys().isdisjoint(own):
+                continue
+            met = list(itertools.accumulate((x in theirs for x in own), initial=0))
+            for at in range(-len(item) + 5, len(w) - 4):  # every window of the text, cut at its ends
+                lo, hi = max(0, at), min(at + len(item), len(w))
+                if met[max(lo, hi - 4)] - met[lo] < len(theirs) / 2:
+                    continue
+                a = collections.Counter(own[lo : hi - 4])
+                s = sum(min(a[x], theirs[x]) * weight(x) for x in a | theirs) / sum(max(a[x], theirs[x]) * weight(x) for x in a | theirs)
+                if s >= 0.8:
+                    want[doc, i] = max(want.get((doc, i), 0), s)
     got = {(r.doc_id, r.item_id): r.similarity for r in contaminated(read(spark, MIDDLE, "documents", "doc_id", "text"), read(spark, MIDDLE, "benchmark", "item_id", "text")).collect()}
     assert got.keys() == want.keys() and len(got) > 10 and all(abs(got[k] - want[k]) < 1e-5 for k in got)
 
 
+def test_short_items_and_repeated_words(spark):
+    docs = spark.createDataFrame([(1, "they say the SECRET answer forty two and more"), (2, "spam " * 40_000), (3, "answer secret"), (4, "secret answer forty")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "secret answer forty two"), (2, "spam " * 30), (3, "secret answer"), (4, "nowhere")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.first_word, r.words, r.similarity) for r in contaminated(docs, items).collect())
+    assert got == [(1, 1, 3, 4, 1.0), (1, 3, 3, 2, 1.0), (2, 2, 0, 30, 1.0), (4, 3, 0, 2, 1.0)]
+
+
 def test_chains_and_alignment():
     import numpy as np
 

@@ -59,7 +59,8 @@ NAME = re.compile(r"[^\s/>]+")
 TAG_STOP = re.compile(r"""=\s*+(["'])|>""")
 SPACE = re.compile(r"\s+")
 PARTS = re.compile(r"[\s_]+")
-CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: Elements that a start tag ends; any that isn't inline ends a paragraph.
+CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _DROPPED, _RAW, _VOID, _INLINE, _OTHER, _MAIN_NAMES = map(frozenset, (DROPPED, RAW, VOID, INLINE, OTHER, MAIN_NAMES))
 _ENDS = {name: re.compile(rf"</{name}\s*+>", re.I) for name in RAW}
 _SUFFIXES = tuple(f"-{w}" for w in ("ad", "ads", "banner", "comments", "footer", "menu", "nav", "sidebar"))
@@ -119,7 +120,8 @@ class Page:
 
     def _read(self, page: str) -> None:
         text: list[str] = []
-        open_: list[tuple[str, bool, bool, int]] = []  # name, dropped, main, element; the middle two hold for what is inside
+        # Name, dropped, main, element, and place of the innermost element that isn't inline; the second and third hold for what is inside.
+        open_: list[tuple[str, bool, bool, int, int]] = []
         depth: dict[str, list[int]] = {}  # where the stack holds each name
         dropped = main = False
         at = here = 0
@@ -137,7 +139,7 @@ class Page:
             nonlocal dropped, main, here
             while len(open_) > k:
                 depth[open_.pop()[0]].pop()
-            _, dropped, main, here = open_[-1] if open_ else ("", False, False, 0)
+            _, dropped, main, here, _ = open_[-1] if open_ else ("", False, False, 0, -1)
 
         for start, stop, name, attributes in tags(page):
             if start < at:
@@ -160,8 +162,8 @@ class Page:
                     if k >= 0:
                         close(k)
             elif name not in _VOID and not attributes.rstrip().endswith("/"):
-                if name in CLOSES and open_ and open_[-1][0] in CLOSES[name]:
-                    close(len(open_) - 1)
+                while name not in _INLINE and open_ and (block := open_[-1][4]) >= 0 and open_[block][0] in CLOSES.get(name, CLOSES["p"]):
+                    close(block)  # with the inline elements left open in it
                 if name in _RAW:
                     m = _ENDS[name].search(page, at)
                     at = m.end() if m else len(page)
@@ -175,7 +177,7 @@ class Page:
                     self.can_be_core.append(name not in ("html", "body"))
                     here = len(self.parent) - 1
                 depth.setdefault(name, []).append(len(open_))
-                open_.append((name, dropped, main, here))
+                open_.append((name, dropped, main, here, len(open_) if name not in _INLINE else open_[-1][4] if open_ else -1))
         if not dropped and at < len(page):
             text.append(page[at:])
         end()
