@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import GKG_FIELDS
 from tidemark.functions.expressions import financial_themes, parse_compact_time, parse_tone, strip_name_suffix
+from tidemark.operators.store import new_documents
 
 
 def org_name_map(companies: DataFrame) -> DataFrame:
@@ -36,14 +37,14 @@ def staged(records: DataFrame, names: DataFrame) -> DataFrame:
     return r.join(found, "record_id", "left")
 
 
-def to_articles(records: DataFrame, names: DataFrame, source: str = "gdelt") -> DataFrame:
+def to_articles(records: DataFrame, names: DataFrame, source: str = "gdelt", keep: tuple[str, ...] = ()) -> DataFrame:
     """One article per record and matched ticker; records without a financial theme, a known organisation or a readable time are dropped."""
     s = staged(records.filter("url <> '' AND date <> '' AND record_id <> ''"), names)
     ms = parse_compact_time(F.col("date"))
     kept = s.filter(F.size("symbols_mentioned") > 0).withColumn("published_ms", ms).filter("published_ms IS NOT NULL")
     return kept.select(
         F.explode("symbols_mentioned").alias("ticker"), F.lit("").alias("title"), F.lit("").alias("content"), "published_ms", "url", "publisher",
-        "symbols_mentioned", "tags", parse_tone(F.col("tone_field")).alias("tone"), "record_id", F.lit(source).alias("source"),
+        "symbols_mentioned", "tags", parse_tone(F.col("tone_field")).alias("tone"), "record_id", F.lit(source).alias("source"), *keep,
     ).withColumn("dedup_key", F.concat_ws("|", F.lit("gdelt"), "record_id", "ticker"))
 
 
@@ -57,6 +58,11 @@ def counters(records: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
+def historical(records: DataFrame, names: DataFrame, existing: DataFrame, snapshot: str = "snapshot") -> DataFrame:
+    """Articles of many snapshots that are not stored yet, with their snapshot; an article in several comes from the first."""
+    return new_documents(to_articles(records, names, "gdelt_historical", (snapshot,)), existing, snapshot)
+
+
 def cap_pages(pages: DataFrame, page_size: int = 1000, most_pages: int = 50) -> DataFrame:
     """Rows of (ticker, page, n) up to and including the first short or empty page of each ticker, at most ``most_pages``."""
     w = Window.partitionBy("ticker").orderBy("page")

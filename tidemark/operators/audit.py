@@ -88,7 +88,7 @@ def agreement(compared: DataFrame) -> DataFrame:
 
 
 def score_range(scores: DataFrame) -> DataFrame:
-    return scores.agg(F.min("dedup_key").alias("first_key"), F.max("dedup_key").alias("last_key"), F.count("*").alias("scores"))
+    return scores.agg(F.unix_millis(F.min("scored_at")).alias("first_ms"), F.unix_millis(F.max("scored_at")).alias("last_ms"), F.count("*").alias("scores"))
 
 
 def duplicate_surfaces(bars: DataFrame, news: DataFrame, events: DataFrame, scores: DataFrame) -> DataFrame:

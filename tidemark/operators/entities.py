@@ -33,22 +33,40 @@ def first_per_key(news: DataFrame) -> DataFrame:
 
 
 def article_orgs(news: DataFrame) -> DataFrame:
-    """Articles with their clean text and organisations; a user's own tagger replaces this step with a column ``orgs``."""
+    """Articles with their clean text and organisations; where a user's own tagger has made a column ``orgs``, that one is kept."""
     clean = news.withColumn("clean", strip_boilerplate(F.col("content")))
+    if "orgs" in news.columns:
+        return clean
     return clean.withColumn("orgs", extract_orgs(F.concat(F.coalesce("title", F.lit("")), F.lit("\n\n"), F.col("clean"))))
 
 
+#: Letters of a name that a piece of text holds at the place where the name may lie in it.
+PIECE = 3
+
+
+def _pieces(text: Column) -> Column:
+    """Distinct runs of up to ``PIECE`` letters at each place of a text, shorter ones included."""
+    at = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+    return F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(*[F.substring(text, i, F.lit(k)) for k in range(1, PIECE + 1)]))))
+
+
+def _holds(long: DataFrame, text: str, short: DataFrame, part: str) -> DataFrame:
+    """Rows of both tables where ``text`` contains ``part``: an equal join on the part's first letters, then the test itself."""
+    a = long.withColumn("_piece", F.explode(_pieces(F.col(text))))
+    b = short.withColumn("_piece", F.substring(part, 1, PIECE))
+    return a.join(b, "_piece").filter(F.col(text).contains(F.col(part))).drop("_piece")
+
+
 def org_candidates(orgs: DataFrame, lookup: DataFrame) -> DataFrame:
     """(org, exact, partial) for distinct organisations: the ticker of that very name, and all tickers of names that hold it or lie in it.
 
-    The substring join runs over distinct organisations and the lookup (four names a company), not over articles.
+    The substring joins run over distinct organisations and the lookup (four names a company), not over articles.
     """
     names = lookup.select("name", F.col("ticker").alias("t"), "ord")
-    low = F.lower(F.col("org"))
-    hit = F.col("name").contains(low) | low.contains(F.col("name"))
-    found = orgs.select("org").distinct().join(names, hit)
+    low = orgs.select("org").distinct().withColumn("low", F.lower("org"))
+    found = _holds(low, "low", names, "name").select("org", "low", "name", "t", "ord").unionAll(_holds(names, "name", low, "low").filter("name <> low").select("org", "low", "name", "t", "ord"))
     return found.groupBy("org").agg(
-        F.max(F.when(low == F.col("name"), F.col("t"))).alias("exact"),
+        F.max(F.when(F.col("low") == F.col("name"), F.col("t"))).alias("exact"),
         F.transform(F.array_sort(F.collect_list(F.struct("ord", "t"))), lambda x: x["t"]).alias("partial"),
     )
 

@@ -32,18 +32,22 @@ def word_scores(text: Column, positive: list[str] = POSITIVE, negative: list[str
     return F.struct(label.alias("label"), confidence.alias("confidence"), p.alias("n_positive"), n.alias("n_negative"))
 
 
-def score_articles(news: DataFrame, models: list[str] | None = None, positive: list[str] = POSITIVE, negative: list[str] = NEGATIVE) -> DataFrame:
-    """One score per model and titled article, by the built-in scorer."""
+def _time(scored_at: str | None) -> Column:
+    return (F.lit(scored_at).cast("timestamp") if scored_at else F.current_timestamp()).alias("scored_at")
+
+
+def score_articles(news: DataFrame, models: list[str] | None = None, positive: list[str] = POSITIVE, negative: list[str] = NEGATIVE, scored_at: str | None = None) -> DataFrame:
+    """One score per model and titled article, by the built-in scorer, with the time of scoring (the current one if not given)."""
     s = news.filter("title <> ''").select("ticker", "dedup_key", "title", F.explode(strings(models or list(MODELS))).alias("model"))
     s = s.withColumn("s", word_scores(F.col("title"), positive, negative))
     return s.select(
         "ticker", F.col("dedup_key").alias("source_dedup_key"), F.substring("title", 1, MOST_CHARS).alias("text_scored"), "model",
         normal_label(F.col("s.label"), F.col("model").isin(list(MODELS))).alias("label"), F.col("s.confidence").alias("confidence"),
-        F.concat_ws("|", "dedup_key", "model").alias("dedup_key"),
+        F.concat_ws("|", "dedup_key", "model").alias("dedup_key"), _time(scored_at),
     )
 
 
-def score_with(news: DataFrame, model: str, load: Callable[[], Callable[[list[str]], list[tuple[str, float] | None]]], batch: int = 16) -> DataFrame:
+def score_with(news: DataFrame, model: str, load: Callable[[], Callable[[list[str]], list[tuple[str, float] | None]]], batch: int = 16, scored_at: str | None = None) -> DataFrame:
     """Scores by a user's model: ``load`` runs once per Python worker, its result takes texts in batches; None is no score."""
     rows = news.filter("title <> ''").select("ticker", F.col("dedup_key").alias("source_dedup_key"), F.substring("title", 1, MOST_CHARS).alias("text_scored"))
 
@@ -62,7 +66,7 @@ def score_with(news: DataFrame, model: str, load: Callable[[], Callable[[list[st
     known = F.lit(model in MODELS or model in MODELS.values())
     return scored.filter("raw_label IS NOT NULL").select(
         "ticker", "source_dedup_key", "text_scored", F.lit(model).alias("model"), normal_label(F.col("raw_label"), known).alias("label"), "confidence",
-        F.concat_ws("|", "source_dedup_key", F.lit(model)).alias("dedup_key"),
+        F.concat_ws("|", "source_dedup_key", F.lit(model)).alias("dedup_key"), _time(scored_at),
     )
 
 
@@ -122,11 +126,17 @@ def enrich(fused_flat: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def enrich_fused(fused: DataFrame, scores: DataFrame) -> DataFrame:
-    """Nested events whose context items carry ``finbert`` and ``roberta`` structs; items are taken apart, joined and put together in order."""
+    """Nested events whose context items carry ``finbert`` and ``roberta`` structs; labels that are there already stay.
+
+    Items are taken apart, joined and put together in order.
+    """
     key = ["ticker", "interval", "timestamp_ms"]
+    there = fused.schema["news_context"].dataType.elementType.names
     items = fused.select(*key, F.posexplode("news_context").alias("pos", "x"))
     s = by_model(scores).select(F.col("source_dedup_key"), *[F.when(F.col(f"{m}_label").isNotNull(), F.struct(F.col(f"{m}_label").alias("label"), F.col(f"{m}_confidence").alias("confidence"))).alias(m) for m in MODELS])
     joined = items.join(s, F.col("x.dedup_key") == F.col("source_dedup_key"), "left")
-    wide = joined.select(*key, "pos", F.struct("x.*", *MODELS).alias("item"))
+    own = [F.col(f"x.{c}") for c in there if c not in MODELS]
+    labels = [(F.coalesce(f"x.{m}", m) if m in there else F.col(m)).alias(m) for m in MODELS]
+    wide = joined.select(*key, "pos", F.struct(*own, *labels).alias("item"))
     back = wide.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "item"))), lambda z: z["item"]).alias("enriched"))
     return fused.join(back, key, "left").withColumn("news_context", F.coalesce("enriched", F.array().cast(back.schema["enriched"].dataType))).drop("enriched")

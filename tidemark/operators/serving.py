@@ -33,13 +33,13 @@ def fused(events: DataFrame, ticker: str, limit: int = 20) -> DataFrame:
     return events.filter(F.col("ticker") == ticker.upper()).orderBy(F.desc("timestamp_ms"), "interval").limit(_limit(limit, 500))
 
 
-def sentiment(scores: DataFrame, ticker: str, model: str | None = None, limit: int = 50, newest: str = "dedup_key") -> DataFrame:
+def sentiment(scores: DataFrame, ticker: str, model: str | None = None, limit: int = 50) -> DataFrame:
     """Scores of a ticker, newest first; short and full model names both work."""
     out = scores.filter(F.col("ticker") == ticker.upper())
     if model:
         short = next((k for k, v in MODELS.items() if model.lower() in (k, v.lower())), model)
         out = out.filter(F.col("model") == short)
-    return out.orderBy(F.desc(newest)).limit(_limit(limit, 500))
+    return out.orderBy(F.desc_nulls_last("scored_at"), "dedup_key").limit(_limit(limit, 500))
 
 
 def stats(bars: DataFrame, companies: DataFrame, articles: DataFrame, events: DataFrame, scores: DataFrame) -> DataFrame:

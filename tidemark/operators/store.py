@@ -10,28 +10,36 @@ from tidemark import schemas
 PRICE_KEY = ["ticker", "timestamp_ms", "interval"]
 
 
-def first_of_key(batch: DataFrame, key: list[str], *order: str) -> DataFrame:
-    """One row per key (the first by ``order``); rows whose key is null all pass."""
-    w = Window.partitionBy(*key).orderBy(*order)
+def _keyed(batch: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is whole, and the others."""
     whole = F.lit(True)
     for k in key:
         whole = whole & F.col(k).isNotNull()
-    return batch.withColumn("_n", F.row_number().over(w)).filter((F.col("_n") == 1) | ~whole).drop("_n")
+    return batch.filter(whole), batch.filter(~whole)
+
+
+def first_of_key(batch: DataFrame, key: list[str], *order: str) -> DataFrame:
+    """One row per key, the first by ``order`` and then by the row's content; rows whose key is null all pass and are dealt nowhere."""
+    keyed, rest = _keyed(batch, key)
+    sortable = [f.name for f in batch.schema.fields if f.name not in (*key, *order) and f.dataType.typeName() != "map"]
+    w = Window.partitionBy(*key).orderBy(*order, *(sortable or key))
+    return keyed.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n").unionAll(rest)
 
 
 def absent(batch: DataFrame, existing: DataFrame, key: list[str], *order: str) -> DataFrame:
     """Rows of the batch whose key is neither stored nor earlier in the batch; stored rows never change."""
-    return first_of_key(batch, key, *(order or key)).join(existing.select(*key), key, "left_anti")
+    keyed, rest = _keyed(batch, key)
+    return first_of_key(keyed, key, *order).join(existing.select(*key), key, "left_anti").select(*batch.columns).unionAll(rest)
 
 
-def new_prices(batch: DataFrame, existing: DataFrame, interval: str = "1d", source: str = "eodhd") -> DataFrame:
-    """Price rows to append: defaults filled in, prices to four places."""
+def new_prices(batch: DataFrame, existing: DataFrame, interval: str = "1d", source: str = "eodhd", *order: str) -> DataFrame:
+    """Price rows to append: defaults filled in, prices to four places. Of different rows of a key the first by ``order`` is kept, or the one of least content."""
     filled = batch.withColumns({
         "interval": F.coalesce("interval", F.lit(interval)) if "interval" in batch.columns else F.lit(interval),
         "source": F.coalesce("source", F.lit(source)) if "source" in batch.columns else F.lit(source),
         **{c: F.col(c).cast(schemas.PRICE) for c in ("open", "high", "low", "close")},
     })
-    return absent(filled, existing, PRICE_KEY)
+    return absent(filled, existing, PRICE_KEY, *order)
 
 
 def new_documents(batch: DataFrame, existing: DataFrame, *order: str) -> DataFrame:

@@ -17,31 +17,38 @@ def seed(spark) -> DataFrame:
     return spark.sql(f"SELECT ticker, company_name, true AS is_active FROM VALUES {rows} AS t(ticker, company_name)")
 
 
-def merge(stored: DataFrame, fetched: DataFrame) -> DataFrame:
+def merge(stored: DataFrame, fetched: DataFrame, now: str | None = None) -> DataFrame:
     """The new version of the company table, with what happened to each row in ``status``.
 
-    New tickers are added as active; present ones take the fetched name and sector and become active again; missing
-    active ones are deactivated; nothing is deleted. An empty fetch is an error, as it would deactivate all.
+    New tickers are added as active; present ones take the fetched name, sector and number (``cik``, null where the table has none) and become
+    active again without ``removed_at``; missing active ones are deactivated with ``removed_at`` set to ``now`` (a timestamp, the
+    current one if not given); nothing is deleted. An empty fetch is an error, as it would deactivate all.
     """
     if fetched.isEmpty():
         raise ValueError("no constituents fetched")
-    s, f = stored.alias("s"), fetched.alias("f")
+    text, time = F.lit(None).cast("string"), F.lit(None).cast("timestamp")
+    s = stored.withColumns({c: v for c, v in (("cik", text), ("removed_at", time)) if c not in stored.columns}).alias("s")
+    f = (fetched if "cik" in fetched.columns else fetched.withColumn("cik", text)).alias("f")
     j = s.join(f, F.col("s.ticker") == F.col("f.ticker"), "full_outer")
     there, got, active = F.col("s.ticker").isNotNull(), F.col("f.ticker").isNotNull(), F.coalesce("s.is_active", F.lit(False))
+    fields = ("company_name", "sector", "cik")
+    same = F.lit(True)
+    for c in fields:
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"f.{c}"))
     status = (
-        F.when(~there, "added").when(got & ~active, "reactivated").when(got & ~(F.col("s.company_name").eqNullSafe(F.col("f.company_name")) & F.col("s.sector").eqNullSafe(F.col("f.sector"))), "updated")
+        F.when(~there, "added").when(got & ~active, "reactivated").when(got & ~same, "updated")
         .when(got, "unchanged").when(active, "deactivated").otherwise("inactive")
     )
+    at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
     return j.select(
-        F.coalesce("s.ticker", "f.ticker").alias("ticker"), *[F.when(got, F.col(f"f.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in ("company_name", "sector")],
-        got.alias("is_active"), status.alias("status"),
+        F.coalesce("s.ticker", "f.ticker").alias("ticker"), *[F.when(got, F.col(f"f.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in fields],
+        got.alias("is_active"), F.when(got, time).when(active, at).otherwise(F.col("s.removed_at")).alias("removed_at"), status.alias("status"),
     )
 
 
 def report(merged: DataFrame) -> DataFrame:
-    """Tickers and their number by status; ``missing`` holds all stored tickers that were not fetched."""
-    by = merged.select("ticker", F.explode(F.when(F.col("status").isin("deactivated", "inactive"), F.array("status", F.lit("missing"))).otherwise(F.array("status"))).alias("status"))
-    return by.groupBy("status").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("ticker")), ",").alias("tickers"))
+    """(status, ticker): what happened to each ticker; those stored and not fetched are listed as ``missing`` too."""
+    return merged.select(F.explode(F.when(F.col("status").isin("deactivated", "inactive"), F.array("status", F.lit("missing"))).otherwise(F.array("status"))).alias("status"), "ticker")
 
 
 def active(companies: DataFrame, only: str | None = None, most: int | None = None) -> DataFrame:

@@ -77,11 +77,12 @@ class Tables:
     def score(self) -> DataFrame:
         n = self.news.filter("title <> '' AND event_id % 9 <> 0")
         m = F.explode(F.array(*[F.struct(F.lit(a).alias("model"), F.lit(b).alias("m")) for a, b in (("finbert", 7), ("roberta", 11))]))
-        x = n.select("dedup_key", "ticker", "event_id", "k", m.alias("x")).select("*", "x.*")
+        x = n.select("dedup_key", "ticker", "event_id", "k", "published_ms", m.alias("x")).select("*", "x.*")
         label = F.get(F.array(F.lit("positive"), F.lit("negative"), F.lit("neutral")), ((F.col("event_id") * F.col("m") + F.col("k")) % 3).cast("int"))
         return x.select(
             F.col("dedup_key").alias("source_dedup_key"), "ticker", "model", F.concat_ws("|", "dedup_key", "model").alias("dedup_key"), label.alias("label"),
             F.round(0.4 + ((F.col("event_id") * F.col("m")) % 61) / 100.0, 4).alias("confidence"),
+            F.timestamp_millis(F.col("published_ms") + (F.col("event_id") * F.col("m")) % 1000 * 60_000).alias("scored_at"),
         )
 
     @cached_property

@@ -49,7 +49,7 @@ WHERE e.event_type IN ('click','signup','error')""",
     "fx_score": r"""
 SELECT dedup_key AS source_dedup_key, ticker, model, dedup_key || '|' || model AS dedup_key,
        ['positive','negative','neutral'][1 + CAST((event_id * m + k) % 3 AS INT)] AS label,
-       round(0.4 + ((event_id * m) % 61) / 100.0, 4) AS confidence
+       round(0.4 + ((event_id * m) % 61) / 100.0, 4) AS confidence, published_ms + (event_id * m) % 1000 * 60000 AS scored_ms
 FROM fx_news, (VALUES ('finbert', 7), ('roberta', 11)) t(model, m)
 WHERE title <> '' AND event_id % 9 <> 0""",
     "fx_gkg_line": r"""

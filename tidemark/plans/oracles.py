@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.config import BOILERPLATE_PHRASES, FINANCIAL_THEMES, FUSION_WINDOWS, LEGAL_FORM, LEGAL_FORM_LOOKUP, NAME_SUFFIXES, ORG_SPAN
+from tidemark.operators.sentiment import NEGATIVE, POSITIVE
 from tidemark.plans.oracle_fixtures import PREFIX
 
 
@@ -29,14 +30,16 @@ FROM fx_price p LEFT JOIN (SELECT ticker, "interval", timestamp_ms, count(*) AS
     "fused_src": """SELECT f.ticker, f."interval", f.timestamp_ms, coalesce(bool_or(n.source = 'gdelt'), FALSE) AS open_, coalesce(bool_or(n.source = 'eodhd'), FALSE) AS vendor_
 FROM flat f LEFT JOIN fx_news n ON n.dedup_key = f.article GROUP BY ALL""",
     # companies out of customers and suppliers
-    "uni": """SELECT 'C' || c_custkey AS ticker, regexp_replace(c_name, '#0*', ' ') || [' Inc.', ' Corp', ' Holdings', ' & Co.', ''][c_custkey % 5 + 1] AS company_name, c_mktsegment AS sector,
-c_custkey % 7 <> 0 AS is_active, c_custkey AS k FROM customer""",
-    "got": """SELECT ticker, company_name || CASE WHEN k % 11 = 0 THEN ' New' ELSE '' END AS company_name, sector FROM uni WHERE k % 5 <> 0
-UNION ALL SELECT 'S' || s_suppkey, s_name, 'SUPPLY' FROM supplier""",
+    "uni": """SELECT 'C' || c_custkey AS ticker, regexp_replace(c_name, '#0*', ' ') || [' Inc.', ' Corp', ' Holdings', ' & Co.', ''][c_custkey % 5 + 1] AS company_name, c_mktsegment AS sector, lpad(c_custkey::VARCHAR, 10, '0') AS cik,
+c_custkey % 7 <> 0 AS is_active, CASE WHEN c_custkey % 7 = 0 THEN 1600000000000 + c_custkey * 1000 END AS removed_ms, c_custkey AS k FROM customer""",
+    "got": """SELECT ticker, company_name || CASE WHEN k % 11 = 0 THEN ' New' ELSE '' END AS company_name, sector, CASE WHEN k % 13 <> 0 THEN cik END AS cik FROM uni WHERE k % 5 <> 0
+UNION ALL SELECT 'S' || s_suppkey, s_name, 'SUPPLY', lpad(s_suppkey::VARCHAR, 10, '0') FROM supplier""",
     "merged": """SELECT coalesce(s.ticker, f.ticker) AS ticker, CASE WHEN f.ticker IS NOT NULL THEN f.company_name ELSE s.company_name END AS company_name,
-CASE WHEN f.ticker IS NOT NULL THEN f.sector ELSE s.sector END AS sector, f.ticker IS NOT NULL AS is_active,
+CASE WHEN f.ticker IS NOT NULL THEN f.sector ELSE s.sector END AS sector,
+CASE WHEN f.ticker IS NOT NULL THEN f.cik ELSE s.cik END AS cik, f.ticker IS NOT NULL AS is_active,
+CASE WHEN f.ticker IS NOT NULL THEN NULL WHEN s.is_active THEN 1704067200000 ELSE s.removed_ms END AS removed_ms,
 CASE WHEN s.ticker IS NULL THEN 'added' WHEN f.ticker IS NOT NULL AND NOT s.is_active THEN 'reactivated'
-     WHEN f.ticker IS NOT NULL AND (s.company_name IS DISTINCT FROM f.company_name OR s.sector IS DISTINCT FROM f.sector) THEN 'updated'
+     WHEN f.ticker IS NOT NULL AND (s.company_name IS DISTINCT FROM f.company_name OR s.sector IS DISTINCT FROM f.sector OR s.cik IS DISTINCT FROM f.cik) THEN 'updated'
      WHEN f.ticker IS NOT NULL THEN 'unchanged' WHEN s.is_active THEN 'deactivated' ELSE 'inactive' END AS status
 FROM uni s FULL JOIN got f ON s.ticker = f.ticker""",
     # records
@@ -87,6 +90,7 @@ WHERE relevance >= 30""",
     "bym": "SELECT source_dedup_key, max(CASE WHEN model = 'finbert' THEN label END) AS finbert, max(CASE WHEN model = 'roberta' THEN label END) AS roberta FROM fx_score GROUP BY 1",
     "lex": r"""SELECT *, len(list_filter(w, lambda x: x IN ('the', 'la', 'und', 'of'))) AS p, len(list_filter(w, lambda x: x IN ('and', 'de', 'der', 'to'))) AS n FROM (
   SELECT ticker, dedup_key, string_split_regex(lower(left(title, 512)), '[^\p{L}]+') AS w FROM fx_news WHERE title <> '')""",
+    "lex0": r"""SELECT ticker, dedup_key, string_split_regex(lower(left(title, 512)), '[^\p{L}]+') AS w FROM fx_news WHERE title <> ''""",
     "batch": """SELECT ticker, event_id, CASE WHEN event_id % 10 <> 0 THEN dedup_key END AS dedup_key FROM fx_news""",
 }
 _FUSION = ["win", "bars", "pairs", "topk"]
@@ -104,6 +108,8 @@ def _sql(body: str, *parts: str) -> str:
 _TIERS = "CASE WHEN news_count < 1 THEN '[0,1)' WHEN news_count < 3 THEN '[1,3)' WHEN news_count < 10 THEN '[3,10)' WHEN news_count < 999 THEN '[10,999)' ELSE 'other' END"
 _MODAL = "CASE WHEN p >= u AND p >= n THEN 'positive' WHEN u >= n THEN 'neutral' ELSE 'negative' END"
 _PRICES = "SELECT * FROM fx_price UNION ALL SELECT * FROM fx_price WHERE timestamp_ms % 600000 = 0"
+_BARS = """SELECT ticker, "interval", timestamp_ms, round(open * 100)::BIGINT AS open, round(high * 100)::BIGINT AS high, round(low * 100)::BIGINT AS low, round(close * 100)::BIGINT AS close, volume, '{source}' AS source
+FROM fx_price WHERE {where}"""
 _NUM = lambda i: f"try_cast(t[{i}] AS DOUBLE)"
 _BAD = lambda i: f"(t[{i}] <> '' AND {_NUM(i)} IS NULL)"
 
@@ -133,13 +139,13 @@ UNION ALL (SELECT * FROM batch WHERE dedup_key IS NULL UNION ALL SELECT * FROM b
     "store_delta": _sql("SELECT dedup_key, ticker, published_ms FROM fx_news WHERE event_id % 5 = 0"),
     "store_resume": _sql("SELECT event_id, ticker, ms FROM fx_event WHERE event_id % 4 = 1"),
     "universe_merge": _sql("SELECT * FROM merged", *_UNI),
-    "universe_report": _sql("""SELECT status, count(*) AS n, string_agg(ticker, ',' ORDER BY ticker) AS tickers FROM (
-SELECT ticker, status FROM merged UNION ALL SELECT ticker, 'missing' FROM merged WHERE status IN ('deactivated', 'inactive')) GROUP BY status""", *_UNI),
+    "universe_report": _sql("SELECT ticker, status FROM merged UNION ALL SELECT ticker, 'missing' FROM merged WHERE status IN ('deactivated', 'inactive')", *_UNI),
     "universe_active": _sql("SELECT ticker, company_name, sector FROM merged WHERE is_active", *_UNI),
     "universe_only": _sql("SELECT t.ticker, u.company_name, u.sector FROM (VALUES ('C1'), ('C2'), ('C7'), ('NONE')) t(ticker) LEFT JOIN uni u USING (ticker)", "uni"),
     "universe_membership_counts": _sql("SELECT count(*) AS total, count(*) FILTER (is_active) AS active, count(*) FILTER (NOT is_active) AS inactive FROM merged", *_UNI),
     "gkg_articles": _sql("SELECT 'gdelt|' || record_id || '|' || ticker AS dedup_key, ticker, published_ms, url, publisher, array_to_string(tickers, ',') AS symbols, array_to_string(tags, ',') AS tags FROM arts", *_REC, "arts"),
-    "gkg_historical": _sql("SELECT 'gdelt_historical' AS source, ticker, count(*) AS articles, min(published_ms) AS first_ms FROM arts GROUP BY ticker", *_REC, "arts"),
+    "gkg_historical": _sql("""SELECT 'gdelt_historical' AS source, substr(record_id, 2)::BIGINT % 60 AS snapshot, count(*) AS articles, min(published_ms) AS first_ms
+FROM arts WHERE record_id NOT LIKE '%0' GROUP BY ALL""", *_REC, "arts"),
     "gkg_counters": _sql("""SELECT count(*) AS seen, count(*) FILTER (len(tags) > 0) AS with_theme, count(*) FILTER (len(tickers) > 0) AS with_org, (SELECT count(*) FROM arts) AS articles
 FROM rec_t LEFT JOIN rec_o USING (record_id) WHERE url <> '' AND date <> '' AND record_id <> ''""", *_REC, "arts"),
     "gkg_tone": _sql(f"""SELECT 'gdelt|' || record_id || '|' || ticker AS dedup_key, {_tone(1, 'tone_score')}, {_tone(2, 'positive')}, {_tone(3, 'negative')}, {_tone(4, 'polarity')}, {_tone(5, 'activity_ref_density')}, {_tone(7, 'word_count', 'INT')}
@@ -179,7 +185,7 @@ count(vendor) AS compared, count(*) FILTER (vendor_agrees) AS agreed, round(100.
     "read_prices": _sql("SELECT ticker, timestamp_ms, close, volume FROM fx_price WHERE ticker = 'T03' AND \"interval\" = '5m' AND timestamp_ms BETWEEN 1704153600000 AND 1705363200000 ORDER BY timestamp_ms DESC LIMIT 200"),
     "read_news": _sql("SELECT ticker, published_ms, title, source FROM fx_news WHERE ticker = 'T03' ORDER BY published_ms DESC, dedup_key LIMIT 50"),
     "read_fused": _sql("SELECT * FROM fused WHERE ticker = 'T03' ORDER BY timestamp_ms DESC, \"interval\" LIMIT 50", *_EVENTS),
-    "read_sentiment": _sql("SELECT dedup_key, model, label FROM fx_score WHERE ticker = 'T03' AND model = 'finbert' ORDER BY dedup_key DESC LIMIT 100"),
+    "read_sentiment": _sql("SELECT dedup_key, model, label, scored_ms FROM fx_score WHERE ticker = 'T03' AND model = 'finbert' ORDER BY scored_ms DESC, dedup_key LIMIT 100"),
     "read_stats": _sql("""SELECT (SELECT count(*) FROM fx_price) AS price_rows, (SELECT count(DISTINCT ticker) FROM fx_price) AS tickers_with_prices, (SELECT count(*) FROM fx_company) AS companies, (SELECT count(*) FROM fx_company WHERE is_active) AS active,
 (SELECT count(*) FROM fx_news) AS news, (SELECT count(*) FROM fused) AS fused, (SELECT count(*) FROM fx_score) AS scores""", *_EVENTS),
     "bars_market_hours": _sql("""SELECT ticker, timestamp_ms, isodow(make_timestamp(timestamp_ms * 1000)) <= 5 AND hour(make_timestamp(timestamp_ms * 1000)) * 60 + minute(make_timestamp(timestamp_ms * 1000)) BETWEEN 810 AND 1200 AS open_now FROM fx_price WHERE "interval" = '5m'"""),
@@ -199,7 +205,7 @@ count(*) FILTER (source <> 'eodhd' AND tone_score IS NOT NULL) AS open_with_tone
     "audit_label_histogram": _sql("SELECT model, label, count(*) AS scores FROM fx_score GROUP BY ALL"),
     "audit_agreement": _sql("""SELECT coalesce(model, 'all') AS model, count(*) AS compared, count(*) FILTER (vendor_agrees) AS agreed, round(100.0 * count(*) FILTER (vendor_agrees) / count(*), 2) AS agreed_pct FROM cmp WHERE vendor IS NOT NULL GROUP BY ROLLUP (model)""", "lab", "cmp"),
     "audit_confidence_tiers": _sql("SELECT model, CASE WHEN confidence < 0.5 THEN '[0,0.5)' WHEN confidence < 0.75 THEN '[0.5,0.75)' WHEN confidence < 0.9 THEN '[0.75,0.9)' WHEN confidence < 1 THEN '[0.9,1)' ELSE 'other' END AS tier, count(*) AS scores FROM fx_score GROUP BY ALL"),
-    "audit_score_range": _sql("SELECT min(dedup_key) AS first_key, max(dedup_key) AS last_key, count(*) AS scores FROM fx_score"),
+    "audit_score_range": _sql("SELECT min(scored_ms) AS first_ms, max(scored_ms) AS last_ms, count(*) AS scores FROM fx_score"),
     "audit_duplicates": _sql("""SELECT 'prices' AS surface, (SELECT count(*) FROM fx_price) AS rows, (SELECT count(*) FROM (SELECT 1 FROM fx_price GROUP BY ticker, timestamp_ms, "interval" HAVING count(*) > 1)) AS duplicate_keys
 UNION ALL SELECT 'news', (SELECT count(*) FROM fx_news), (SELECT count(*) FROM (SELECT 1 FROM fx_news GROUP BY dedup_key HAVING count(*) > 1))
 UNION ALL SELECT 'fused', (SELECT count(*) FROM fx_price), 0 UNION ALL SELECT 'scores', (SELECT count(*) FROM fx_score), (SELECT count(*) FROM (SELECT 1 FROM fx_score GROUP BY dedup_key HAVING count(*) > 1))"""),
@@ -210,6 +216,21 @@ SELECT ticker, day, side, {_MODAL} AS m FROM (SELECT ticker, published_ms // 864
 FROM lab WHERE coalesce(vendor, open) IS NOT NULL GROUP BY ALL)) GROUP BY ALL) WHERE v IS NOT NULL AND o IS NOT NULL GROUP BY ticker""", "lab"),
     "audit_open_concentration": _sql("""SELECT count(*) AS tickers_with, round(100.0 * sum(CASE WHEN r <= 5 THEN n ELSE 0 END) / sum(n), 4) AS top_pct, (SELECT count(*) FROM fx_company WHERE is_active AND ticker NOT IN (SELECT ticker FROM fused_src WHERE open_)) AS active_without
 FROM (SELECT ticker, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, ticker) AS r FROM fused_src WHERE open_ GROUP BY ticker)""", *_EVENTS, "flat", "fused_src"),
+    "universe_seed": _sql("SELECT 'added' AS status, count(*) AS n FROM got UNION ALL SELECT 'deactivated', 10", "uni", "got"),
+    "source_eod_bars": _sql(_BARS.format(where="\"interval\" = '1d' AND volume IS NOT NULL", source="eodhd")),
+    "source_intraday_bars": _sql(_BARS.format(where="\"interval\" = '5m' AND volume IS NOT NULL", source="eodhd")),
+    "source_history": _sql(_BARS.format(where="\"interval\" = '5m' AND volume IS NOT NULL AND timestamp_ms BETWEEN 1704153600000 AND 1705363200000", source="eodhd_historical")),
+    "source_vendor_news": _sql("""SELECT ticker, published_ms, title, length(content) AS letters, 'http://n/' || event_id AS url, array_to_string(symbols_mentioned, ',') AS symbols, vendor_sentiment.pos AS pos, source,
+strftime(make_timestamp(published_ms * 1000), '%Y-%m-%dT%H:%M:%S+00:00') || '|' || left(title, 100) || '|' || ticker AS dedup_key FROM fx_news WHERE source = 'eodhd'"""),
+    "source_records": _sql("SELECT record_id, date, url, orgs FROM rec", "rec"),
+    "source_constituents": """SELECT 'C-' || c_custkey AS ticker, c_name || ' & Co.' AS company_name, CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS sector,
+CASE WHEN c_custkey % 3 <> 0 THEN lpad(c_custkey::VARCHAR, 10, '0') END AS cik FROM customer""",
+    "source_universe_json": _sql("SELECT ticker, company_name, sector, cik FROM uni", "uni"),
+    "store_log": _sql("""SELECT 'bars' AS job, 'r1' AS run_id, 0::BIGINT AS start_ms, (SELECT count(*) FROM fx_price) AS records, 1.5::DOUBLE AS seconds, 'ok' AS status, NULL::VARCHAR AS error_message
+UNION ALL SELECT 'events', 'r2', 10000, (SELECT count(*) FROM fx_event), 2.0, 'failed', 'late'"""),
+    "stream_scores": _sql(f"""SELECT dedup_key || '|' || m AS dedup_key, ticker, m AS model, CASE WHEN p > n THEN 'positive' WHEN n > p THEN 'negative' ELSE 'neutral' END AS label,
+round(round(0.5 + abs(p - n) / (2.0 * (p + n + 1)), 4) * 10000)::BIGINT AS confidence FROM (SELECT *, len(list_filter(w, lambda x: x IN ({', '.join(map(_text, POSITIVE))}))) AS p,
+len(list_filter(w, lambda x: x IN ({', '.join(map(_text, NEGATIVE))}))) AS n FROM lex0), (VALUES ('finbert'), ('roberta')) t(m)""", "lex0"),
     "stream_fused": _sql("SELECT * FROM flat", *_EVENTS, "flat"),
     "stream_dedup": _sql("SELECT dedup_key, ticker FROM fx_news"),
     "stream_insert": _sql("SELECT dedup_key, ticker, published_ms FROM fx_news"),

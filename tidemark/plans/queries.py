@@ -11,6 +11,7 @@ from tidemark.functions.expressions import in_market_hours, parse_published, str
 from tidemark.operators import articles, audit, entities, fusion, sentiment, serving, store, universe
 from tidemark.plans.fixtures import INTERVALS, Tables
 from tidemark.plans.shared import shared_path, stored
+from tidemark.sources import readers
 from tidemark.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,25 +137,36 @@ def _universe(t: Tables) -> tuple[DataFrame, DataFrame]:
     c = t.raw("customer")
     key = F.col("c_custkey")
     name = F.concat(F.regexp_replace("c_name", "#0*", " "), _legal(key))
-    one = c.select(F.concat(F.lit("C"), key).alias("ticker"), name.alias("company_name"), F.col("c_mktsegment").alias("sector"), (key % 7 != 0).alias("is_active"), key.alias("k"))
-    moved = one.filter("k % 5 <> 0").withColumn("company_name", F.when(F.col("k") % 11 == 0, F.concat("company_name", F.lit(" New"))).otherwise(F.col("company_name")))
-    s = t.raw("supplier").select(F.concat(F.lit("S"), F.col("s_suppkey")).alias("ticker"), F.col("s_name").alias("company_name"), F.lit("SUPPLY").alias("sector"))
-    return one.drop("k"), moved.select("ticker", "company_name", "sector").unionAll(s)
+    number = lambda k: F.lpad(k.cast("string"), 10, "0").alias("cik")
+    gone = F.when(key % 7 == 0, F.timestamp_millis(1_600_000_000_000 + key * 1000)).alias("removed_at")
+    one = c.select(F.concat(F.lit("C"), key).alias("ticker"), name.alias("company_name"), F.col("c_mktsegment").alias("sector"), number(key), (key % 7 != 0).alias("is_active"), gone, key.alias("k"))
+    moved = one.filter("k % 5 <> 0").withColumn("company_name", F.when(F.col("k") % 11 == 0, F.concat("company_name", F.lit(" New"))).otherwise(F.col("company_name"))).withColumn("cik", F.when(F.col("k") % 13 != 0, F.col("cik")))
+    s = t.raw("supplier").select(F.concat(F.lit("S"), F.col("s_suppkey")).alias("ticker"), F.col("s_name").alias("company_name"), F.lit("SUPPLY").alias("sector"), number(F.col("s_suppkey")))
+    return one.drop("k"), moved.select("ticker", "company_name", "sector", "cik").unionAll(s)
+
+
+def _merged(t: Tables) -> DataFrame:
+    return universe.merge(*_universe(t), now="2024-01-01 00:00:00")
 
 
 @query
 def universe_merge(t: Tables) -> DataFrame:
-    return universe.merge(*_universe(t))
+    return _merged(t).withColumn("removed_ms", F.unix_millis("removed_at")).drop("removed_at")
 
 
 @query
 def universe_report(t: Tables) -> DataFrame:
-    return universe.report(universe.merge(*_universe(t)))
+    return universe.report(_merged(t))
+
+
+@query
+def universe_seed(t: Tables) -> DataFrame:
+    return universe.merge(universe.seed(t.spark).withColumn("sector", F.lit(None).cast("string")), _universe(t)[1]).groupBy("status").agg(F.count("*").alias("n"))
 
 
 @query
 def universe_active(t: Tables) -> DataFrame:
-    return universe.active(universe.merge(*_universe(t)))
+    return universe.active(_merged(t))
 
 
 @query
@@ -164,7 +176,7 @@ def universe_only(t: Tables) -> DataFrame:
 
 @query
 def universe_membership_counts(t: Tables) -> DataFrame:
-    return universe.membership_counts(universe.merge(*_universe(t)))
+    return universe.membership_counts(_merged(t))
 
 
 # ---- open-data records ----
@@ -181,8 +193,13 @@ def gkg_articles(t: Tables) -> DataFrame:
 
 @query
 def gkg_historical(t: Tables) -> DataFrame:
-    a = articles.to_articles(*_records(t), source="gdelt_historical")
-    return a.groupBy("source", "ticker").agg(F.count("*").alias("articles"), F.min("published_ms").alias("first_ms"))
+    """Two snapshots a day, every fourth line again in a later one, every tenth article stored before."""
+    lines = t.gkg_line.withColumn("snapshot", F.col("line_no") % 60)
+    again = lines.filter("line_no % 4 = 0").withColumn("snapshot", F.col("snapshot") + 1)
+    records = articles.split_records(lines.unionAll(again))
+    before = articles.to_articles(*_records(t)).filter("record_id LIKE '%0'").select("dedup_key")
+    a = articles.historical(records, articles.org_name_map(t.company), before)
+    return a.groupBy("source", "snapshot").agg(F.count("*").alias("articles"), F.min("published_ms").alias("first_ms"))
 
 
 @query
@@ -362,7 +379,7 @@ def read_fused(t: Tables) -> DataFrame:
 
 @query
 def read_sentiment(t: Tables) -> DataFrame:
-    return serving.sentiment(t.score, "T03", "ProsusAI/finbert", 100).select("dedup_key", "model", "label")
+    return serving.sentiment(t.score, "T03", "ProsusAI/finbert", 100).select("dedup_key", "model", "label", F.unix_millis("scored_at").alias("scored_ms"))
 
 
 @query
@@ -405,6 +422,89 @@ _audit("daily_agreement", lambda t: audit.daily_agreement(t.news))
 _audit("open_concentration", lambda t: audit.open_concentration(_fused(t), t.company))
 
 
+# ---- sources: files landed by Spark and read back ----
+
+
+def _landed(t: Tables, rows: DataFrame, what: str) -> str:
+    """One folder a ticker of files whose lines are JSON arrays of rows."""
+    path = shared_path(t.spark, what)
+    arrays = rows.groupBy("ticker", F.pmod(F.xxhash64("row"), F.lit(20)).alias("file")).agg(F.to_json(F.collect_list("row")).alias("value"))
+    arrays.select("ticker", "value").write.partitionBy("ticker").text(path)
+    return path
+
+
+def _cents(df: DataFrame) -> DataFrame:
+    return df.select("ticker", "interval", "timestamp_ms", *[F.round(F.col(c) * 100).cast("long").alias(c) for c in ("open", "high", "low", "close")], "volume", "source")
+
+
+_OHLCV = ["open", "high", "low", "close", "volume"]
+
+
+@query
+def source_eod_bars(t: Tables) -> DataFrame:
+    """Days without a volume have a date that can't be read."""
+    date = F.when(F.col("volume").isNull(), "soon").otherwise(F.date_format(F.timestamp_millis("timestamp_ms"), "yyyy-MM-dd"))
+    rows = t.price.filter("interval = '1d'").select("ticker", F.struct(date.alias("date"), *_OHLCV).alias("row"))
+    return _cents(readers.eod_bars(t.spark, _landed(t, rows, "eod"), multi_line=False))
+
+
+def _intraday(t: Tables) -> DataFrame:
+    time = F.when(F.col("volume").isNull(), 0).otherwise((F.col("timestamp_ms") / 1000).cast("long"))
+    rows = t.price.filter("interval = '5m'").select("ticker", F.struct(time.alias("timestamp"), *_OHLCV).alias("row"))
+    return readers.intraday_bars(t.spark, _landed(t, rows, "intraday"), multi_line=False)
+
+
+@query
+def source_intraday_bars(t: Tables) -> DataFrame:
+    return _cents(_intraday(t))
+
+
+@query
+def source_history(t: Tables) -> DataFrame:
+    return _cents(readers.bounded_history(_intraday(t), 1_704_153_600_000, 1_705_363_200_000))
+
+
+@query
+def source_vendor_news(t: Tables) -> DataFrame:
+    date = F.date_format(F.timestamp_millis("published_ms"), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    rows = t.news.filter("source = 'eodhd'").select("ticker", F.struct(date.alias("date"), "title", "content", F.concat(F.lit("http://n/"), "event_id").alias("link"), F.col("symbols_mentioned").alias("symbols"), "tags", F.col("vendor_sentiment").alias("sentiment")).alias("row"))
+    n = readers.vendor_news(t.spark, _landed(t, rows, "vendor"), multi_line=False)
+    return n.select("ticker", "published_ms", "title", F.length("content").alias("letters"), "url", F.array_join("symbols_mentioned", ",").alias("symbols"), F.col("vendor_sentiment.pos").alias("pos"), "source", "dedup_key")
+
+
+@query
+def source_records(t: Tables) -> DataFrame:
+    path = shared_path(t.spark, "records")
+    t.gkg_line.select(F.col("line").alias("value")).write.text(path)
+    return articles.split_records(readers.record_lines(t.spark, path).drop("file")).select("record_id", "date", "url", "orgs")
+
+
+@query
+def source_constituents(t: Tables) -> DataFrame:
+    """Pages of 200 customers each, as tables with markup inside cells and columns in an order of their own."""
+    cell = lambda c, tag="td": F.concat(F.lit(f"<{tag} class='x'>"), c, F.lit(f"</{tag}>"))
+    head = "<tr><th>Security</th><th><b>Symbol</b></th><th>CIK</th><th>GICS\nSector</th></tr>"
+    key = F.col("c_custkey")
+    row = F.concat(F.lit("<tr>"), cell(F.concat("c_name", F.lit(" &amp; Co."))), cell(F.concat(F.lit("<a href='/c'>C."), key, F.lit("</a>"))), cell(F.when(key % 3 == 0, "none").otherwise(key.cast("string"))), cell(F.when(key % 5 == 0, "").otherwise(F.col("c_mktsegment"))), F.lit("</tr>"))
+    pages = t.raw("customer").groupBy(F.floor(key / 200)).agg(F.concat(F.lit(f"<table id='other'><tr><td>x</td></tr></table><table class='w' id='constituents'><tbody>{head}"), F.array_join(F.collect_list(row), ""), F.lit("</tbody></table><p>end")).alias("html"))
+    return readers.constituents(pages)
+
+
+@query
+def source_universe_json(t: Tables) -> DataFrame:
+    path = shared_path(t.spark, "universe")
+    readers.write_universe(_universe(t)[0], path)
+    return t.spark.read.schema("ticker string, company_name string, sector string, cik string").json(path)
+
+
+@query
+def store_log(t: Tables) -> DataFrame:
+    path = shared_path(t.spark, "runs")
+    store.log_run(t.spark, path, "bars", "r1", 0.0, 1.5, t.price.count())
+    store.log_run(t.spark, path, "events", "r2", 10.0, 12.0, t.event.count(), "failed", "late")
+    return t.spark.read.parquet(path).select("job", "run_id", F.unix_millis("start_time").alias("start_ms"), "records", F.col("latency_seconds").cast("double").alias("seconds"), "status", "error_message")
+
+
 # ---- streams: landed files read to their end, micro-batch by micro-batch ----
 
 
@@ -458,3 +558,13 @@ def stream_pairs(t: Tables) -> DataFrame:
     pairs = streams.fuse_join(streams.table_stream(t.spark, landed_bars, bars.schema), streams.table_stream(t.spark, landed_news, news.schema))
     pairs.writeStream.format("parquet").option("path", target).option("checkpointLocation", shared_path(t.spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
     return t.spark.read.schema(pairs.schema).parquet(target).filter("dedup_key IS NOT NULL").select("ticker", "timestamp_ms", "dedup_key", F.round("offset_min", 2).alias("offset_min"))
+
+
+@query
+def stream_scores(t: Tables) -> DataFrame:
+    """News in several micro-batches, each article twice; what was scored before is not scored again."""
+    landed, target = shared_path(t.spark, "news"), shared_path(t.spark, "scores")
+    n = t.news.select("dedup_key", "ticker", "title")
+    n.unionAll(n).repartition(4).write.parquet(landed)
+    streams.score_stream(streams.table_stream(t.spark, landed, n.schema, 2), target, shared_path(t.spark, "checkpoint")).awaitTermination()
+    return t.spark.read.parquet(target).select("dedup_key", "ticker", "model", "label", F.round(F.col("confidence") * 10_000).cast("long").alias("confidence"))

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, what: str) -> str:
-    """A new path in the shared folder; a temporary folder only where none is named."""
+    """A new path in the shared folder; on a local master a temporary folder where none is named."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder}/{what}-{uuid.uuid4().hex}"

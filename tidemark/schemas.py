@@ -21,7 +21,7 @@ NEWS = struct(
     ticker=S, title=S, content=S, published_at=S, published_ms=L, url=S, publisher=S, symbols_mentioned=T.ArrayType(S), tags=T.ArrayType(S),
     vendor_sentiment=VENDOR_SENTIMENT, tone=TONE, record_id=S, dedup_key=S, source=S,
 )
-SCORES = struct(ticker=S, source_dedup_key=S, text_scored=S, model=S, label=S, confidence=D, raw_label=S, raw_score=D, dedup_key=S)
+SCORES = struct(ticker=S, source_dedup_key=S, text_scored=S, model=S, label=S, confidence=D, raw_label=S, raw_score=D, dedup_key=S, scored_at=TS)
 RUNS = struct(job=S, run_id=S, start_time=TS, end_time=TS, records=L, latency_seconds=T.DecimalType(10, 2), status=S, error_message=S)
 
 EOD_BAR = struct(date=S, open=D, high=D, low=D, close=D, volume=L)

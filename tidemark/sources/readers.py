@@ -7,14 +7,19 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.expressions import parse_published
 
 
-def _ticker_of_file():
+def _with_ticker(raw: DataFrame) -> DataFrame:
+    """The ticker out of folders named ``ticker=...``, or else out of the file's name."""
+    return raw.withColumn("ticker", F.upper("ticker")) if "ticker" in raw.columns else raw.withColumn("ticker", _ticker_of_file())
+
+
+def _ticker_of_file() -> Column:
     return F.upper(F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.US)?\.json(?:l)?(?:\.gz)?$", 1))
 
 
@@ -25,14 +30,14 @@ def _bars(df: DataFrame, interval: str, source: str) -> DataFrame:
 
 def eod_bars(spark: SparkSession, path: str, source: str = "eodhd", multi_line: bool = True) -> DataFrame:
     """Daily bars from one JSON array per ticker; rows with an unreadable date are dropped, times are midnight UTC."""
-    raw = spark.read.schema(schemas.EOD_BAR).option("multiLine", multi_line).json(path).withColumn("ticker", _ticker_of_file())
+    raw = _with_ticker(spark.read.schema(schemas.EOD_BAR).option("multiLine", multi_line).json(path))
     ms = F.unix_millis(F.try_to_timestamp("date", F.lit("yyyy-MM-dd")))
     return _bars(raw.withColumn("timestamp_ms", ms).filter("timestamp_ms IS NOT NULL"), "1d", source)
 
 
 def intraday_bars(spark: SparkSession, path: str, interval: str = "5m", source: str = "eodhd", multi_line: bool = True) -> DataFrame:
     """Intraday bars from epoch seconds; null and zero times are dropped."""
-    raw = spark.read.schema(schemas.INTRADAY_BAR).option("multiLine", multi_line).json(path).withColumn("ticker", _ticker_of_file())
+    raw = _with_ticker(spark.read.schema(schemas.INTRADAY_BAR).option("multiLine", multi_line).json(path))
     return _bars(raw.filter("timestamp <> 0").withColumn("timestamp_ms", F.col("timestamp") * 1000), interval, source)
 
 
@@ -43,7 +48,7 @@ def bounded_history(bars: DataFrame, from_ms: int, to_ms: int, source: str = "eo
 
 def vendor_news(spark: SparkSession, path: str, source: str = "eodhd", multi_line: bool = True) -> DataFrame:
     """Vendor articles from one JSON array per ticker."""
-    raw = spark.read.schema(schemas.VENDOR_ARTICLE).option("multiLine", multi_line).json(path).withColumn("ticker", _ticker_of_file())
+    raw = _with_ticker(spark.read.schema(schemas.VENDOR_ARTICLE).option("multiLine", multi_line).json(path))
     return raw.select(
         "ticker", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("content", F.lit("")).alias("content"), F.col("date").alias("published_at"), parse_published(F.col("date")).alias("published_ms"),
         F.col("link").alias("url"), F.col("symbols").alias("symbols_mentioned"), "tags", F.col("sentiment").alias("vendor_sentiment"), F.lit(source).alias("source"),
@@ -87,16 +92,30 @@ def index_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def constituents(pages: DataFrame, html: str = "html") -> DataFrame:
-    """(ticker, company_name, sector, cik) from the table with id ``constituents``; the header row is left out."""
-    table = F.regexp_extract(html, r'(?s)(<table[^>]*id="constituents".*?</table>)', 1)
-    rows = pages.select(F.posexplode(F.regexp_extract_all(table, F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), 1)).alias("no", "tr")).filter("no > 0")
-    cells = F.transform(F.regexp_extract_all("tr", F.lit(r"(?s)<t[hd][^>]*>(.*?)</t[hd]>"), 1), lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"<[^>]+>", ""), r"\s+", " ")))
-    c = rows.select(cells.alias("c"))
-    at = lambda i: F.get("c", F.lit(i))
-    return c.filter(at(0) != "").select(
-        F.regexp_replace(at(0), r"\.", "-").alias("ticker"), at(1).alias("company_name"), F.when(at(2) != "", at(2)).alias("sector"), F.when(at(6).rlike(r"^\d+$"), F.lpad(at(6), 10, "0")).alias("cik")
-    )
+    """(ticker, company_name, sector, cik) from the table with id ``constituents``, columns taken by the names in its first row.
+
+    Rows are what lies between row ends, cells what follows each cell's start tag up to the next one; entities and markup inside
+    cells are left out. Dots of tickers become dashes and numbers get leading zeros up to ten digits.
+    """
+    plain = lambda c: F.trim(F.regexp_replace(F.replace(F.regexp_replace(c, "<[^>]*>", " "), F.lit("&amp;"), F.lit("&")), r"\s+", " "))
+    body = F.get(F.split(F.get(F.split(F.col(html), r"(?i)<table[^>]*\bid=[\"']?constituents\b[^>]*>", 2), F.lit(1)), "(?i)</table", 2), F.lit(0))
+    lines = F.filter(F.split(body, r"(?i)<tr\b[^>]*>"), lambda r: r.rlike(r"(?i)<t[dh]\b"))
+    cells = F.transform(lines, lambda r: F.transform(F.slice(F.split(r, r"(?i)<t[dh]\b[^>]*>"), 2, 1000), plain))
+    table = pages.select(cells.alias("rows")).filter(F.size("rows") > 0).withColumn("head", F.transform(F.element_at("rows", 1), F.lower))
+    rows = table.select("head", F.explode(F.slice("rows", 2, 2**31 - 1)).alias("row"))
+
+    def cell(*names: str) -> Column:
+        """The cell under the first heading of one of the names; null for an empty or missing one."""
+        places = [F.get("row", F.nullif(F.array_position("head", F.lit(n)), F.lit(0)).cast("int") - 1) for n in names]
+        return F.nullif(F.coalesce(*places), F.lit(""))
+
+    number = cell("cik")
+    return rows.select(
+        F.replace(cell("symbol", "ticker"), F.lit("."), F.lit("-")).alias("ticker"), cell("security", "company", "company_name").alias("company_name"), cell("gics sector", "sector").alias("sector"),
+        F.when(number.rlike(r"^\d+$"), F.lpad(number, 10, "0")).alias("cik"),
+    ).filter("ticker IS NOT NULL")
 
 
 def write_universe(companies: DataFrame, path: str) -> None:
-    companies.select("ticker", "company_name", "sector").write.mode("overwrite").json(path)
+    """One JSON object a company; ``cik`` goes with it where the table has it."""
+    companies.select("ticker", "company_name", "sector", *[c for c in ("cik",) if c in companies.columns]).write.mode("overwrite").json(path)
