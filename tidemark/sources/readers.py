@@ -104,14 +104,14 @@ def constituents(pages: DataFrame, html: str = "html") -> DataFrame:
     table = pages.select(cells.alias("rows")).filter(F.size("rows") > 0).withColumn("head", F.transform(F.element_at("rows", 1), F.lower))
     rows = table.select("head", F.explode(F.slice("rows", 2, 2**31 - 1)).alias("row"))
 
-    def cell(*names: str) -> Column:
-        """The cell under the first heading of one of the names; null for an empty or missing one."""
-        places = [F.get("row", F.nullif(F.array_position("head", F.lit(n)), F.lit(0)).cast("int") - 1) for n in names]
-        return F.nullif(F.coalesce(*places), F.lit(""))
+    def cell(place: int, *names: str) -> Column:
+        """The cell under the first heading of one of the names, or at the usual place if no heading says so; null for an empty or missing one."""
+        at = [F.nullif(F.array_position("head", F.lit(n)), F.lit(0)).cast("int") - 1 for n in names]
+        return F.nullif(F.get("row", F.coalesce(*at, F.lit(place))), F.lit(""))
 
-    number = cell("cik")
+    number = cell(6, "cik")
     return rows.select(
-        F.replace(cell("symbol", "ticker"), F.lit("."), F.lit("-")).alias("ticker"), cell("security", "company", "company_name").alias("company_name"), cell("gics sector", "sector").alias("sector"),
+        F.replace(cell(0, "symbol", "ticker"), F.lit("."), F.lit("-")).alias("ticker"), cell(1, "security", "company", "company_name").alias("company_name"), cell(2, "gics sector", "sector").alias("sector"),
         F.when(number.rlike(r"^\d+$"), F.lpad(number, 10, "0")).alias("cik"),
     ).filter("ticker IS NOT NULL")
 
