@@ -73,6 +73,44 @@ def test_toxicity_on_held_out_rows(spark):
     assert held[held.toxic == 1].predicted.mean() > 0.7 and held[held.toxic == 0].predicted.mean() < 0.01
 
 
+def test_toxicity_equals_brute_force(spark):
+    """FTRL-proximal with one coordinate at a time in plain Python, from words to scores."""
+    from tidemark.llm import toxicity as tx
+
+    rng = np.random.default_rng(9)
+    vocabulary = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(0, 30))) + (" vile words" if k % 4 == 0 else "") for k in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(60)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in tx.toxicity(docs, labels, F.lit(True)).collect()}
+
+    def coordinates(text):
+        h = [int(x) for x in tx.word_hashes(text)]
+        pairs = [x * int(tx.M2) + y for x, y in zip(h, h[1:])] + [x * int(tx.M3) + y for x, y in zip(h, h[2:])]
+        mixed = [x % 2**64 for x in [*h, *pairs]]
+        return {((x ^ (x >> 29)) * int(tx.M1) % 2**64) >> 44 for x in mixed}
+
+    order = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id")).collect()]
+    l1, z, n = min(tx.L1_MOST, max(tx.L1_LEAST, tx.L1_A_ROW * len(order))), Counter(), Counter()
+    positive = sum(k % 4 == 0 for k in order)
+    prior = math.log((positive + 1) / (len(order) - positive + 19))
+
+    def weight(c, l1=l1):
+        return 0.0 if abs(z[c]) <= l1 else (math.copysign(l1, z[c]) - z[c]) / ((tx.BETA + math.sqrt(n[c])) / tx.ALPHA + tx.L2)
+
+    def score(text):
+        return 1 / (1 + math.exp(-(prior + weight("bias", 0.0) + sum(weight(c) for c in coordinates(text)))))
+
+    for _ in range(tx.EPOCHS):
+        for k in order:
+            g = score(texts[k]) - (k % 4 == 0)
+            steps = {c: (math.sqrt(n[c] + g * g) - math.sqrt(n[c])) / tx.ALPHA * weight(c, 0.0 if c == "bias" else l1) for c in [*coordinates(texts[k]), "bias"]}
+            for c, s in steps.items():
+                z[c] += g - s
+                n[c] += g * g
+    assert all(abs(got[k] - score(t)) < 1e-4 for k, t in enumerate(texts))
+
+
 def test_base_scores_equal_brute_force(spark):
     d = pd.read_parquet(f"{SMALL}/documents.parquet")
     own = {i: [*t.encode().lower().split(), None] for i, t in zip(d.doc_id, d.text, strict=True)}
