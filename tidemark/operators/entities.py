@@ -94,16 +94,16 @@ def map_vendor(articles: DataFrame, lookup: DataFrame, target: str | None = None
     known = lookup.select("ticker").distinct()
     matches = org_matches(articles, lookup)
     tags = articles.select("dedup_key", F.explode("symbols_mentioned").alias("s")).select("dedup_key", F.upper(F.regexp_replace("s", r"\.US", "")).alias("ticker")).distinct().join(known, "ticker", "left_semi")
-    cand = matches.select("dedup_key", "ticker").unionByName(tags.select("dedup_key", "ticker")).distinct()
+    # One aggregate over both, so that the matches, which read whole contents, are made once.
+    found = matches.withColumn("tag", F.lit(0)).unionByName(tags.select("dedup_key", "ticker", F.lit(None).cast("string").alias("match_type"), F.lit(20).alias("tag")))
+    cand = found.groupBy("dedup_key", "ticker").agg(F.max("match_type").alias("match_type"), F.max("tag").alias("tag"))
     if target:
         cand = cand.filter(F.col("ticker") == target)
     names = lookup.groupBy("ticker").agg(F.collect_list("name").alias("names"))
     titled = cand.join(articles.select("dedup_key", F.lower(F.coalesce("title", F.lit(""))).alias("title")), "dedup_key").join(names, "ticker")
     in_title = F.exists("names", lambda n: F.col("title").contains(n)) | F.col("title").contains(F.lower("ticker"))
-    scored = titled.select("dedup_key", "ticker", F.when(in_title, 50).otherwise(0).alias("t"))
-    both = scored.join(matches, ["dedup_key", "ticker"], "left").join(tags.withColumn("tag", F.lit(20)), ["dedup_key", "ticker"], "left")
-    relevance = F.col("t") + F.when(F.col("match_type").isNotNull(), 30).otherwise(0) + F.coalesce("tag", F.lit(0))
-    return both.select("dedup_key", "ticker", relevance.alias("relevance"), F.coalesce("match_type", F.lit("tag_only")).alias("match_type")).filter(F.col("relevance") >= RELEVANCE_THRESHOLD)
+    relevance = F.when(in_title, 50).otherwise(0) + F.when(F.col("match_type").isNotNull(), 30).otherwise(0) + F.col("tag")
+    return titled.select("dedup_key", "ticker", relevance.alias("relevance"), F.coalesce("match_type", F.lit("tag_only")).alias("match_type")).filter(F.col("relevance") >= RELEVANCE_THRESHOLD)
 
 
 def map_open(articles: DataFrame, lookup: DataFrame, target: str | None = None) -> DataFrame:
