@@ -1,9 +1,12 @@
 """Pages, URLs, benchmark windows, passages and pieces against brute force or round trips."""
 
 import collections
+import html
 import itertools
 import random
+import re
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -107,13 +110,39 @@ def test_url_rules(spark):
     rows = [(i, u, "clash") for i, u in enumerate(urls)] + [(None, "http://a.net/q", "clash"), (0, urls[0], "clash")]
     df = spark.createDataFrame(rows, "page_id long, url string, host string")
     got = collections.defaultdict(list)
-    for r in url_filter(df, rules, sweeps=3).collect():
+    for r in url_filter(df, rules, rows=3).collect():
         got[r.page_id].append((r.rule, r.verdict))
     want = {0: [("a.net/", "block")] * 2, 1: [("a.net/x/", "allow")], 2: [("b.a.net/x/y", "allow")], 3: [("net/x", "allow")], 4: [(None, "allow")], 5: [(None, "allow")], 6: [(None, "allow")], 7: [("net/long/path", "block")], 8: [(None, "allow")], 9: [("net/long/path", "block")], None: [("a.net/", "block")]}
     assert dict(got) == want
     assert url_filter(df.limit(0), rules).collect() == [] and {r.verdict for r in url_filter(df, rules.limit(0), default="block").collect()} == {"block"}
 
 
+def test_many_url_rules_equal_brute_force(spark):
+    """100,000 nested rules, 20,000 of them on one host, and a third of all URLs on that host."""
+    rng = np.random.default_rng(8)
+    label = lambda n: [f"{x}" for x in rng.integers(0, n, 100_000)]
+    host = [f"h{a}.d{b}.t{c}" if c != "0" else f"d{b}.t0" for a, b, c in zip(label(3), label(40), label(4), strict=True)]
+    host = ["hot.t1" if k % 5 == 0 else h for k, h in enumerate(host)]
+    path = ["/" + "/".join(x[:n]) for n, *x in zip(rng.integers(0, 4, 100_000), label(30), label(30), label(9), strict=True)]
+    block = rng.integers(0, 2, 100_000) == 1
+    table: dict = {}
+    for h, p, b in zip(host, path, block, strict=True):
+        table[h, p] = max(table.get((h, p), ""), "block" if b else "allow")
+    urls = [f"http://{'www.hot.t1' if k % 3 == 0 else 'x.' * (k % 2) + host[k * 7]}{path[k * 11]}{'/more' * (k % 4 == 0)}" for k in range(3000)]
+
+    def judge(url):
+        h, p = re.match(r"http://([^/]*)(.*)", url).groups()
+        labels = h.split(".")
+        found = [(len(x) + n, len(x), x, p[:n]) for i in range(len(labels)) for x in [".".join(labels[i:])] for n in range(len(p) + 1) if (x, p[:n]) in table]
+        return (max(found)[2] + max(found)[3], table[max(found)[2:]]) if found else (None, "allow")
+
+    rules = spark.createDataFrame(pd.DataFrame({"host": host, "path": path, "verdict": np.where(block, "block", "allow")}))
+    df = spark.createDataFrame(pd.DataFrame({"page_id": range(3000), "url": urls}))
+    for rows in (100, 200_000):
+        got = {r.page_id: (r.rule, r.verdict) for r in url_filter(df, rules, rows=rows).collect()}
+        assert got == {k: judge(u) for k, u in enumerate(urls)}
+
+
 def test_contamination_equals_brute_force(spark):
     import math
 

@@ -1,15 +1,21 @@
 """Operator 9: URL filters as a sort-merge range join.
 
 A rule is a host and a path prefix. Reversed host labels (``net.example.www.``) turn "this host and its
-subdomains" into an interval of keys, and the intervals of nested hosts nest. Sorted by key, an interval's
-start pushes its rules on the stack of active rules and its end pops them. As rule intervals nest, the stack
-after each boundary is known from the rules alone: the rules of all hosts whose key is a prefix of the boundary's.
-The sweep is a window over boundaries and URLs in key order that carries the latest stack on to the URLs behind it;
-the longest active rule whose path starts the URL's path decides.
+subdomains" into an interval of keys, and a path prefix is an interval of paths. Such intervals nest: of two either one
+holds the other or they are apart. So the last interval that starts at or before a key, with the intervals around it, is the
+stack of all that can hold the key; what the key doesn't start with has been closed before it.
 
-Scale: the sweep runs in ``sweeps`` slices that are dealt by a hash of the row, not of the host, so a host
-that holds a third of all URLs is spread evenly; each slice gets all boundaries (twice the rules), never all
-URLs. No user function, no cross join, nothing on the driver.
+Two sweeps, each a window in key order over interval starts and URLs that carries the latest stack on to the URLs behind:
+
+1. over reversed hosts, with the stack of rule hosts around; each active host of a URL gives a probe;
+2. over the paths of one rule host, with the stack of its rules around. Of all active rules of a URL the longest decides.
+
+A stack is as deep as hosts have labels or rules nest, whatever the number of rules.
+
+Scale: URLs and rules are dealt by the top-level label and the URLs of a label once more by a hash of the row, into parts of
+``rows`` URLs or as many as the label has rules, if these are more. Every part gets the label's rules, so copies of rules are
+never more than rules and URLs together, and a host that holds a third of all URLs is spread evenly. No user function, no
+cross join, no broadcast but those that Spark chooses by size, nothing on the driver.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, which no rule fits (rules with
 an empty host are ignored); ties in length go to the longer host; repeated rows are judged one by one; a
@@ -21,8 +27,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Sorts behind every label character, so it closes the interval of a host and its subdomains.
-CLOSE = "\U0010ffff"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -40,48 +44,62 @@ def reversed_host(host: Column) -> Column:
     return F.when(host == "", "").otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit(".")))
 
 
-def boundaries(rules: DataFrame) -> DataFrame:
-    """Boundaries ``at`` of the rules' host intervals, each with the stack of rules active behind it.
+def top_label(key: Column) -> Column:
+    return F.substring_index(key, ".", 1)
 
-    An interval's start has the rules of its host and of all enclosing hosts; its end has those of the enclosing
-    hosts only. The enclosing hosts come from an equi-join with the key's own prefixes, one for each label.
-    """
-    r = (
-        rules.select(F.translate("host", UPPER, LOWER).alias("host"), F.coalesce("path", F.lit("/")).alias("path"), F.col("verdict").alias("verdict"))
-        .filter("host IS NOT NULL AND host <> '' AND verdict IS NOT NULL")
-        .groupBy("host", "path").agg(F.max(F.col("verdict")).alias("verdict"))
-        .select(reversed_host(F.col("host")).alias("key"), F.struct((F.length("host") + F.length("path")).alias("size"), F.length("host").alias("host_size"), "host", "path", "verdict").alias("r"))
-    )
-    hosts = r.select("key").distinct()
+
+def rule_table(rules: DataFrame) -> DataFrame:
+    """Rules once each: ``top``, ``key`` (reversed host), ``path`` and the rule ``r`` in order of precedence."""
+    host, path = F.translate("host", UPPER, LOWER), F.coalesce("path", F.lit("/"))
+    once = rules.filter("host <> '' AND verdict IS NOT NULL").groupBy(host.alias("host"), path.alias("path")).agg(F.max("verdict").alias("verdict"))
+    r = F.struct((F.length("host") + F.length("path")).alias("size"), F.length("host").alias("host_size"), "host", "path", "verdict")
+    key = reversed_host(F.col("host"))
+    return once.select(top_label(key).alias("top"), key.alias("key"), "path", r.alias("r"))
+
+
+def host_stacks(rules: DataFrame) -> DataFrame:
+    """Each rule host's key with the keys of the rule hosts around it, itself included."""
+    hosts = rules.select("top", "key").distinct()
     labels = F.split(F.expr("left(key, length(key) - 1)"), r"\.")
-    outer = hosts.select("key", F.explode(F.transform(labels, lambda _, i: F.concat(F.array_join(F.slice(labels, 1, i + 1), "."), F.lit(".")))).alias("outer"))
-    stacks = outer.join(r.withColumnRenamed("key", "outer"), "outer").groupBy("key").agg(
-        F.array_sort(F.collect_list("r")).alias("inside"),
-        F.array_sort(F.collect_list(F.when(F.col("outer") != F.col("key"), F.col("r")))).alias("around"),
-    )
-    return stacks.select(F.col("key").alias("at"), F.col("inside").alias("stack")).unionAll(stacks.select(F.concat("key", F.lit(CLOSE)), "around"))
+    around = F.transform(labels, lambda _, i: F.concat(F.array_join(F.slice(labels, 1, i + 1), "."), F.lit(".")))
+    outer = hosts.select("top", "key", F.explode(around).alias("outer"))
+    return outer.join(hosts.select(F.col("key").alias("outer")), "outer").groupBy("top", "key").agg(F.collect_list("outer").alias("stack"))
+
 
+def path_stacks(rules: DataFrame) -> DataFrame:
+    """Each rule's host key and path with the rules of that host around it, itself included."""
+    around = F.transform(F.sequence(F.lit(0), F.length("path")), lambda n: F.substring("path", F.lit(1), n))
+    outer = rules.select("top", "key", "path", F.explode(around).alias("outer"))
+    inner = rules.select("key", F.col("path").alias("outer"), "r")
+    return outer.join(inner, ["key", "outer"]).groupBy("top", "key", "path").agg(F.collect_list("r").alias("stack"))
 
-def url_filter(urls: DataFrame, rules: DataFrame, row: str = "page_id", url: str = "url", default: str = "allow", sweeps: int | None = None) -> DataFrame:
+
+def url_filter(urls: DataFrame, rules: DataFrame, row: str = "page_id", url: str = "url", default: str = "allow", rows: int = 200_000) -> DataFrame:
     """One row per URL: the row id, ``host``, ``path``, the winning ``rule`` (or null) and the ``verdict``.
 
-    ``rules`` has the columns host, path and verdict (allow or block). ``sweeps`` is the number of
-    slices; the number of shuffle partitions if not given.
+    ``rules`` has the columns host, path and verdict (allow or block). ``rows`` is the number of URLs that are swept together.
     """
-    sweeps = sweeps or max(2, int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     host, path = url_parts(F.col(url))
-    rows = urls.select(
-        F.pmod(F.xxhash64(row, url), F.lit(sweeps)).cast("int").alias("slice"), reversed_host(host).alias("at"), F.lit(1).alias("kind"),
-        F.lit(None).alias("stack"), F.col(row).alias("id"), host.alias("host"), path.alias("path"),
-    )
-    marks = boundaries(rules).select(
-        F.explode(F.sequence(F.lit(0), F.lit(sweeps - 1))).alias("slice"), "at", F.lit(0).alias("kind"), "stack",
-        F.lit(None).alias("id"), F.lit(None).alias("host"), F.lit(None).alias("path"),
+    given = urls.select(F.monotonically_increasing_id().alias("n"), F.col(row).alias("id"), host.alias("host"), path.alias("path"))
+    given = given.withColumn("key", reversed_host(F.col("host"))).withColumn("top", top_label(F.col("key")))
+    r = rule_table(rules)
+    parts = given.groupBy("top").count().join(r.groupBy("top").agg(F.count("*").alias("rules")), "top", "left").select(
+        "top", (F.floor(F.col("count") / F.greatest(F.coalesce("rules", F.lit(0)), F.lit(rows))) + 1).cast("int").alias("parts")
     )
-    sweep = Window.partitionBy("slice").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    swept = marks.unionAll(rows).withColumn("active", F.last("stack", ignorenulls=True).over(sweep)).filter("kind = 1")
-    fits = F.filter("active", lambda r: F.col("path").startswith(r["path"]))
-    best = swept.withColumn("best", F.array_max(fits))
+    each_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+
+    hosts = host_stacks(r).join(parts, "top").select("top", each_part, "key", F.lit(0).alias("kind"), "stack")
+    dealt = given.join(parts, "top").select("top", F.pmod(F.xxhash64("n"), "parts").cast("int").alias("part"), "key", F.lit(1).alias("kind"), "n", "id", "host", "path")
+    sweep = Window.partitionBy("top", "part").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = hosts.unionByName(dealt, allowMissingColumns=True).withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).filter("kind = 1")
+    active = F.filter("stack", lambda k: F.col("key").startswith(k))
+    probes = swept.select("top", "part", F.explode_outer(active).alias("key"), "path", F.lit(1).alias("kind"), "n", "id", "host")
+
+    paths = path_stacks(r).join(parts, "top").select("top", each_part, "key", "path", F.lit(0).alias("kind"), "stack")
+    sweep = Window.partitionBy("top", "part", "key").orderBy("path", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    judged = paths.unionByName(probes, allowMissingColumns=True).withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).filter("kind = 1")
+    fits = F.array_max(F.filter("stack", lambda x: F.col("path").startswith(x["path"])))
+    best = judged.groupBy("n", "id", "host", "path").agg(F.max(fits).alias("best"))
     return best.select(
         F.col("id").alias(row), "host", "path", F.concat("best.host", "best.path").alias("rule"),
         F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
