@@ -12,10 +12,11 @@ Two sweeps, each a window in key order over interval starts and URLs that carrie
 
 A stack is as deep as hosts have labels or rules nest, whatever the number of rules.
 
-Scale: URLs and rules are dealt by the top-level label and the URLs of a label once more by a hash of the row, into parts of
+Scale: URLs and rules are dealt by the top-level label and the URLs of a large label once more by a hash of the row, into parts of
 ``rows`` URLs or as many as the label has rules, if these are more. Every part gets the label's rules, so copies of rules are
-never more than rules and URLs together, and a host that holds a third of all URLs is spread evenly. No user function, no
-cross join, no broadcast but those that Spark chooses by size, nothing on the driver.
+never more than rules and URLs together, and a host that holds a third of all URLs is spread evenly. The numbers of parts
+of the ``LARGE`` labels with most URLs are broadcast; a label behind these has less than 1 / ``LARGE`` of all URLs and is one
+part. No user function, no cross join, nothing on the driver.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, which no rule fits (rules with
 an empty host are ignored); ties in length go to the longer host; repeated rows are judged one by one; a
@@ -27,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Labels of which at most this many are dealt in parts.
+LARGE = 10_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -83,19 +86,21 @@ def url_filter(urls: DataFrame, rules: DataFrame, row: str = "page_id", url: str
     given = urls.select(F.monotonically_increasing_id().alias("n"), F.col(row).alias("id"), host.alias("host"), path.alias("path"))
     given = given.withColumn("key", reversed_host(F.col("host"))).withColumn("top", top_label(F.col("key")))
     r = rule_table(rules)
-    parts = given.groupBy("top").count().join(r.groupBy("top").agg(F.count("*").alias("rules")), "top", "left").select(
+    large = given.groupBy("top").count().filter(F.col("count") > rows).orderBy(F.desc("count"), "top").limit(LARGE)
+    parts = F.broadcast(large.join(r.groupBy("top").agg(F.count("*").alias("rules")), "top", "left").select(
         "top", (F.floor(F.col("count") / F.greatest(F.coalesce("rules", F.lit(0)), F.lit(rows))) + 1).cast("int").alias("parts")
-    )
-    each_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    ))
+    n_parts = F.coalesce("parts", F.lit(1))
+    each_part = F.explode(F.sequence(F.lit(0), n_parts - 1)).alias("part")
 
-    hosts = host_stacks(r).join(parts, "top").select("top", each_part, "key", F.lit(0).alias("kind"), "stack")
-    dealt = given.join(parts, "top").select("top", F.pmod(F.xxhash64("n"), "parts").cast("int").alias("part"), "key", F.lit(1).alias("kind"), "n", "id", "host", "path")
+    hosts = host_stacks(r).join(parts, "top", "left").select("top", each_part, "key", F.lit(0).alias("kind"), "stack")
+    dealt = given.join(parts, "top", "left").select("top", F.pmod(F.xxhash64("n"), n_parts).cast("int").alias("part"), "key", F.lit(1).alias("kind"), "n", "id", "host", "path")
     sweep = Window.partitionBy("top", "part").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     swept = hosts.unionByName(dealt, allowMissingColumns=True).withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).filter("kind = 1")
     active = F.filter("stack", lambda k: F.col("key").startswith(k))
     probes = swept.select("top", "part", F.explode_outer(active).alias("key"), "path", F.lit(1).alias("kind"), "n", "id", "host")
 
-    paths = path_stacks(r).join(parts, "top").select("top", each_part, "key", "path", F.lit(0).alias("kind"), "stack")
+    paths = path_stacks(r).join(parts, "top", "left").select("top", each_part, "key", "path", F.lit(0).alias("kind"), "stack")
     sweep = Window.partitionBy("top", "part", "key").orderBy("path", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     judged = paths.unionByName(probes, allowMissingColumns=True).withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).filter("kind = 1")
     fits = F.array_max(F.filter("stack", lambda x: F.col("path").startswith(x["path"])))
