@@ -77,7 +77,7 @@ def path_stacks(rules: DataFrame) -> DataFrame:
     return outer.join(inner, ["key", "outer"]).groupBy("top", "key", "path").agg(F.collect_list("r").alias("stack"))
 
 
-def url_filter(urls: DataFrame, rules: DataFrame, row: str = "page_id", url: str = "url", default: str = "allow", rows: int = 200_000) -> DataFrame:
+def url_filter(urls: DataFrame, rules: DataFrame, row: str = "page_id", url: str = "url", default: str = "allow", rows: int = 2_000) -> DataFrame:
     """One row per URL: the row id, ``host``, ``path``, the winning ``rule`` (or null) and the ``verdict``.
 
     ``rules`` has the columns host, path and verdict (allow or block). ``rows`` is the number of URLs that are swept together.
