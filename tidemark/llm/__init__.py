@@ -1 +1 @@
-"""Training-data operators: ten numbered operators and the queries over them."""
+"""Training-data operators: numbered operators and the queries over them."""

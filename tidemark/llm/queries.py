@@ -1,4 +1,4 @@
-"""The registered queries over the ten operators, with SQL where it can express them."""
+"""The registered queries over the numbered operators, with SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -12,8 +12,10 @@ from tidemark.llm.langid import language
 from tidemark.llm.lm import lm_scores
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.pieces import encoded
+from tidemark.llm.pulearn import pu_quality
 from tidemark.llm.quality import STOP_WORDS, quality
 from tidemark.llm.substrings import passages
+from tidemark.llm.tokenalign import cross_alignment
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.urlfilter import url_filter
 
@@ -70,6 +72,16 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "quality")
+    scored = pu_quality(docs, labels, crc_mod("doc_id", 5) != 0)
+    return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_alignment(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_pieces": op2_pieces,
@@ -81,6 +93,8 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
     "op10_substrings": op10_substrings,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 _STOP = ", ".join(f"'{x}'" for x in dict.fromkeys(STOP_WORDS))
