@@ -12,6 +12,7 @@ from tidemark.llm.langid import language
 from tidemark.llm.lm import lm_scores
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.pieces import encoded
+from tidemark.llm.prefixtrie import prefix_trie
 from tidemark.llm.pulearn import pu_quality
 from tidemark.llm.quality import STOP_WORDS, quality
 from tidemark.llm.substrings import passages
@@ -82,6 +83,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_alignment(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_pieces": op2_pieces,
@@ -95,6 +100,7 @@ QUERIES = {
     "op10_substrings": op10_substrings,
     "op11_quality_classifier": op11_quality_classifier,
     "op12_token_alignment": op12_token_alignment,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _STOP = ", ".join(f"'{x}'" for x in dict.fromkeys(STOP_WORDS))
@@ -145,7 +151,41 @@ SELECT p.page_id, p.host, p.path, f.rh || f.rp AS rule, coalesce(f.rv, 'allow')
 FROM p LEFT JOIN f ON p.k = f.k AND f.n = 1
 """
 
+#: DuckDB has no crc32, so it is folded over the digits' codes, bit by bit.
+OP13_SQL = r"""
+WITH c AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p,
+         coalesce(role, '') AS r, coalesce(text, '') AS t
+  FROM conversations WHERE conv_id IS NOT NULL),
+v AS (
+  SELECT conv_id, conv_id - ((conv_id % 5) + 5) % 5 AS base,
+         xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM c)),
+f AS (SELECT v.conv_id, c.p, c.r, c.t FROM v JOIN c ON c.conv_id = v.base AND c.p < v.h),
+k AS (SELECT conv_id, count(*) AS n FROM f GROUP BY conv_id),
+seq AS (
+  SELECT conv_id, p, r, t FROM f
+  UNION ALL SELECT conv_id, c.p - v.h + coalesce(k.n, 0), c.r, c.t FROM c JOIN v USING (conv_id) LEFT JOIN k USING (conv_id) WHERE c.p >= v.h),
+s AS (SELECT v.conv_id, coalesce(list(struct_pack(r := seq.r, t := seq.t) ORDER BY seq.p) FILTER (WHERE seq.p IS NOT NULL), []) AS s FROM v LEFT JOIN seq USING (conv_id) GROUP BY v.conv_id),
+pre AS (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM s),
+names AS (
+  SELECT conv_id, d, len(s) AS n, min(conv_id) OVER (PARTITION BY d, s[1:d]) AS name, CASE WHEN d > 0 THEN octet_length(encode(s[d].t)) ELSE 0 END AS size FROM pre),
+node AS (
+  SELECT name, d, count(*) AS n_convs, max(size) AS size, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = d), '') AS ends FROM names GROUP BY name, d),
+up AS (SELECT node.*, a.name AS parent FROM node LEFT JOIN names a ON a.conv_id = node.name AND a.d = node.d - 1),
+kids AS (SELECT parent AS name, d - 1 AS d, count(*) AS n FROM up WHERE parent IS NOT NULL GROUP BY ALL),
+own AS (SELECT up.*, coalesce(kids.n, 0) AS kids FROM up LEFT JOIN kids USING (name, d)),
+tot AS (
+  SELECT a.name, a.d, sum(CASE WHEN x.kids = 0 THEN 1 ELSE 0 END) AS leaves, sum((x.n_convs - 1) * x.size) AS saved
+  FROM own x JOIN names a ON a.conv_id = x.name AND a.d <= x.d GROUP BY a.name, a.d)
+SELECT own.name AS conv_id, own.d::BIGINT AS depth, parent AS parent_conv_id, n_convs::BIGINT AS n_convs, kids::BIGINT AS n_children,
+       leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM own JOIN tot USING (name, d)
+"""
+
 ORACLE = {
+    "op13_prefix_trie": OP13_SQL,
     "op8_quality_rules": OP8_SQL,
     "op9_url_filters": OP9_SQL,
 }
