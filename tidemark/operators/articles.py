@@ -39,7 +39,25 @@ def staged(records: DataFrame, names: DataFrame) -> DataFrame:
 
 def to_articles(records: DataFrame, names: DataFrame, source: str = "gdelt", keep: tuple[str, ...] = ()) -> DataFrame:
     """One article per record and matched ticker; records without a financial theme, a known organisation or a readable time are dropped."""
-    s = staged(records.filter("url <> '' AND date <> '' AND record_id <> ''"), names)
+    return _articles(staged(_whole(records), names), source, keep)
+
+
+def articles_by_row(records: DataFrame, names: DataFrame, source: str = "gdelt", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The same by looking each row's organisations up in a map, for streams: no row meets another.
+
+    The map is one row, aggregated from the names (a few for each company) and broadcast to the records.
+    """
+    one = F.broadcast(names.agg(F.map_from_entries(F.collect_list(F.struct("name", "ticker"))).alias("_names")))
+    r = _whole(records).withColumn("tags", financial_themes(F.col("themes"))).filter(F.size("tags") > 0).crossJoin(one)
+    found = F.transform(F.split("orgs", ";"), lambda o: F.element_at("_names", F.lower(F.trim(o))))
+    return _articles(r.withColumn("symbols_mentioned", F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull())))), source, keep)
+
+
+def _whole(records: DataFrame) -> DataFrame:
+    return records.filter("url <> '' AND date <> '' AND record_id <> ''")
+
+
+def _articles(s: DataFrame, source: str, keep: tuple[str, ...]) -> DataFrame:
     ms = parse_compact_time(F.col("date"))
     kept = s.filter(F.size("symbols_mentioned") > 0).withColumn("published_ms", ms).filter("published_ms IS NOT NULL")
     return kept.select(

@@ -10,30 +10,34 @@ from tidemark import schemas
 PRICE_KEY = ["ticker", "timestamp_ms", "interval"]
 
 
-def _keyed(batch: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key is whole, and the others."""
+def _dealt(batch: DataFrame, key: list[str]) -> DataFrame:
+    """The batch with a column that is 0 where the key is whole and a number of its own elsewhere, so that rows without a key meet nobody."""
     whole = F.lit(True)
     for k in key:
         whole = whole & F.col(k).isNotNull()
-    return batch.filter(whole), batch.filter(~whole)
+    return batch.withColumn("_row", F.when(whole, F.lit(0).cast("long")).otherwise(F.monotonically_increasing_id() + 1))
+
+
+def _first(dealt: DataFrame, key: list[str], order: tuple[str, ...]) -> DataFrame:
+    """One row per key and number, by the caller's order and then by a hash of the row."""
+    sortable = [f.name for f in dealt.schema.fields if f.name not in (*key, "_row") and "map" not in f.dataType.simpleString()]
+    w = Window.partitionBy(*key, "_row").orderBy(*order, F.xxhash64(*sortable) if sortable else F.lit(0))
+    return dealt.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
 def first_of_key(batch: DataFrame, key: list[str], *order: str) -> DataFrame:
-    """One row per key, the first by ``order`` and then by the row's content; rows whose key is null all pass and are dealt nowhere."""
-    keyed, rest = _keyed(batch, key)
-    sortable = [f.name for f in batch.schema.fields if f.name not in (*key, *order) and f.dataType.typeName() != "map"]
-    w = Window.partitionBy(*key).orderBy(*order, *(sortable or key))
-    return keyed.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n").unionAll(rest)
+    """One row per key, the first by ``order`` and then by a hash of the row; rows whose key is null all pass."""
+    return _first(_dealt(batch, key), key, order).drop("_row")
 
 
 def absent(batch: DataFrame, existing: DataFrame, key: list[str], *order: str) -> DataFrame:
-    """Rows of the batch whose key is neither stored nor earlier in the batch; stored rows never change."""
-    keyed, rest = _keyed(batch, key)
-    return first_of_key(keyed, key, *order).join(existing.select(*key), key, "left_anti").select(*batch.columns).unionAll(rest)
+    """Rows of the batch whose key is neither stored nor earlier in the batch; stored rows never change. One plan, one shuffle of the batch."""
+    stored = existing.select(*key, F.lit(0).cast("long").alias("_row"))
+    return _first(_dealt(batch, key), key, order).join(stored, [*key, "_row"], "left_anti").select(*batch.columns)
 
 
 def new_prices(batch: DataFrame, existing: DataFrame, interval: str = "1d", source: str = "eodhd", *order: str) -> DataFrame:
-    """Price rows to append: defaults filled in, prices to four places. Of different rows of a key the first by ``order`` is kept, or the one of least content."""
+    """Price rows to append: defaults filled in, prices to four places. Of different rows of a key the first by ``order`` is kept, then by a hash of the row."""
     filled = batch.withColumns({
         "interval": F.coalesce("interval", F.lit(interval)) if "interval" in batch.columns else F.lit(interval),
         "source": F.coalesce("source", F.lit(source)) if "source" in batch.columns else F.lit(source),

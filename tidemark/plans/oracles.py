@@ -235,5 +235,11 @@ len(list_filter(w, lambda x: x IN ({', '.join(map(_text, NEGATIVE))}))) AS n FRO
     "stream_dedup": _sql("SELECT dedup_key, ticker FROM fx_news"),
     "stream_insert": _sql("SELECT dedup_key, ticker, published_ms FROM fx_news"),
     "stream_tone_window": _sql("SELECT ticker, (published_ms // 900000) * 900000 AS window_ms, count(*) AS articles, count(tone_score) AS with_tone, round(avg(tone_score), 6) AS mean_tone FROM fx_news GROUP BY ALL"),
-    "stream_pairs": _sql("SELECT ticker, timestamp_ms, dedup_key, offset_min FROM pairs WHERE \"interval\" = '5m'", "win", "bars", "pairs"),
+    "stream_pairs": _sql("SELECT b.ticker, b.timestamp_ms, p.dedup_key, p.offset_min FROM bars b LEFT JOIN pairs p USING (ticker, \"interval\", timestamp_ms) WHERE b.\"interval\" = '5m'", "win", "bars", "pairs"),
+    "stream_enriched": _sql(f"""SELECT f.ticker, f."interval", f.timestamp_ms, f.rank, f.article, s.label AS finbert, s.confidence, s.label AS roberta FROM flat f LEFT JOIN (
+SELECT dedup_key, CASE WHEN p > n THEN 'positive' WHEN n > p THEN 'negative' ELSE 'neutral' END AS label, round(round(0.5 + abs(p - n) / (2.0 * (p + n + 1)), 4) * 10000)::BIGINT AS confidence
+FROM (SELECT *, len(list_filter(w, lambda x: x IN ({', '.join(map(_text, POSITIVE))}))) AS p, len(list_filter(w, lambda x: x IN ({', '.join(map(_text, NEGATIVE))}))) AS n FROM lex0)) s
+ON s.dedup_key = f.article WHERE f.article IS NOT NULL""", *_EVENTS, "flat", "lex0"),
+    "stream_prices": _sql(_BARS.format(where="\"interval\" = '5m' AND volume IS NOT NULL", source="eodhd")),
+    "stream_records": _sql("SELECT 'gdelt|' || record_id || '|' || ticker AS dedup_key, ticker, published_ms, url, publisher, array_to_string(tickers, ',') AS symbols, array_to_string(tags, ',') AS tags FROM arts", *_REC, "arts"),
 }

@@ -12,7 +12,8 @@ from tidemark.operators import articles, audit, entities, fusion, sentiment, ser
 from tidemark.plans.fixtures import INTERVALS, Tables
 from tidemark.plans.shared import shared_path, stored
 from tidemark.sources import readers
-from tidemark.streaming import streams
+from tidemark.streaming import state, streams
+from tidemark.streaming.ledger import committed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -549,15 +550,64 @@ def stream_tone_window(t: Tables) -> DataFrame:
 
 @query
 def stream_pairs(t: Tables) -> DataFrame:
-    """Stream-stream join of 5m bars and news; pairs only, as bars without news wait for the watermark."""
-    landed_bars, landed_news, target = (shared_path(t.spark, x) for x in ("bars", "news", "pairs"))
+    """Stream-stream join of 5m bars and news, run after each of three polls; bars without news come out behind the watermark.
+
+    The last poll is followed by a row far ahead on both sides, as time would bring it.
+    """
+    landed_bars, landed_news, target, checkpoint = (shared_path(t.spark, x) for x in ("bars", "news", "pairs", "checkpoint"))
     bars = t.price.filter("interval = '5m'").select("ticker", "interval", "timestamp_ms")
     news = t.news.select("ticker", "dedup_key", "published_ms")
-    bars.write.parquet(landed_bars)
-    news.write.parquet(landed_news)
-    pairs = streams.fuse_join(streams.table_stream(t.spark, landed_bars, bars.schema), streams.table_stream(t.spark, landed_news, news.schema))
-    pairs.writeStream.format("parquet").option("path", target).option("checkpointLocation", shared_path(t.spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.schema(pairs.schema).parquet(target).filter("dedup_key IS NOT NULL").select("ticker", "timestamp_ms", "dedup_key", F.round("offset_min", 2).alias("offset_min"))
+    first, last = t.event.agg(F.min("ms"), F.max("ms")).first()
+    cuts = [first - 1, *(first + (last - first) * k // 3 for k in (1, 2)), last + 1]
+    end = last + 30 * 86_400_000
+    for lo, hi in zip(cuts, [*cuts[1:], None], strict=True):
+        part = lambda df, at: df.filter((F.col(at) > lo) & (F.col(at) <= hi)) if hi else t.spark.createDataFrame([("", *(["5m", end] if at == "timestamp_ms" else ["", end]))], df.schema)  # noqa: B023, E731
+        part(bars, "timestamp_ms").write.mode("append").parquet(landed_bars)
+        part(news, "published_ms").write.mode("append").parquet(landed_news)
+        pairs = streams.fuse_join(streams.table_stream(t.spark, landed_bars, bars.schema), streams.table_stream(t.spark, landed_news, news.schema), intervals=["5m"])
+        streams.sink(pairs, target, checkpoint).awaitTermination()
+    return t.spark.read.schema(pairs.schema).parquet(target).filter("ticker <> ''").select("ticker", "timestamp_ms", "dedup_key", F.round("offset_min", 2).alias("offset_min"))
+
+
+@query
+def stream_enriched(t: Tables) -> DataFrame:
+    """Fused events in several micro-batches; the scores and the events with them are two tables of one stream."""
+    landed, scores, enriched, ledger, checkpoint = (shared_path(t.spark, x) for x in ("fused", "scores", "enriched", "ledger", "checkpoint"))
+    _fused(t).repartition(4, "ticker").write.parquet(landed)
+    events = streams.table_stream(t.spark, landed, t.spark.read.parquet(landed).schema, 2)
+    news = stored(t.news.select("dedup_key", "ticker", "title"), "news")
+    streams.enrich_stream(events, lambda: news, scores, enriched, ledger, checkpoint).awaitTermination()
+    out = sentiment.enrich_fused(events, sentiment.score_articles(news)).schema
+    e = committed(t.spark, "enriched", enriched, ledger, out)
+    return e.select("ticker", "interval", "timestamp_ms", F.explode("news_context").alias("x")).select(
+        "ticker", "interval", "timestamp_ms", F.col("x.rank").alias("rank"), F.col("x.dedup_key").alias("article"), F.col("x.finbert.label").alias("finbert"),
+        F.round(F.col("x.finbert.confidence") * 10_000).cast("long").alias("confidence"), F.col("x.roberta.label").alias("roberta"),
+    )
+
+
+@query
+def stream_prices(t: Tables) -> DataFrame:
+    """Polls of intraday bars as landed JSON, the second with half of the first again; what came before is known by state alone."""
+    landed, target = shared_path(t.spark, "polls"), shared_path(t.spark, "bars")
+    seconds = F.when(F.col("volume").isNull(), 0).otherwise((F.col("timestamp_ms") / 1000).cast("long"))
+    rows = t.price.filter("interval = '5m'").select("ticker", "timestamp_ms", F.to_json(F.array(F.struct(seconds.alias("timestamp"), *_OHLCV))).alias("value"))
+    polls = rows.withColumn("poll", F.lit(0)).unionAll(rows.filter("timestamp_ms % 600000 = 0").withColumn("poll", F.lit(1)))
+    polls.repartition(2, "poll", "ticker").select("ticker", "value").write.partitionBy("ticker").text(landed)
+    bars = state.new_bars(streams.bar_stream(t.spark, landed, files_per_batch=10))
+    streams.sink(bars, target, shared_path(t.spark, "checkpoint"), idle=False).awaitTermination()
+    return _cents(t.spark.read.schema(bars.schema).parquet(target))
+
+
+@query
+def stream_records(t: Tables) -> DataFrame:
+    """Snapshots of open-data records as landed text, every third line in two of them, to articles."""
+    landed, target = shared_path(t.spark, "records"), shared_path(t.spark, "articles")
+    lines = t.gkg_line.select(F.col("line").alias("value"), F.lit(0).alias("snapshot")).unionAll(t.gkg_line.filter("line_no % 3 = 0").select("line", F.lit(1)))
+    lines.repartition(4, "snapshot", "value").select("value").write.text(landed)
+    found = state.new_articles(streams.record_stream(t.spark, landed, articles.org_name_map(t.company), files_per_batch=2))
+    streams.sink(found, target, shared_path(t.spark, "checkpoint"), idle=False).awaitTermination()
+    a = t.spark.read.schema(found.schema).parquet(target)
+    return a.select("dedup_key", "ticker", "published_ms", "url", "publisher", F.array_join("symbols_mentioned", ",").alias("symbols"), F.array_join("tags", ",").alias("tags"))
 
 
 @query

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark import schemas
 from tidemark.functions.expressions import parse_published
@@ -28,16 +29,24 @@ def _bars(df: DataFrame, interval: str, source: str) -> DataFrame:
     return df.select("ticker", "timestamp_ms", F.timestamp_millis("timestamp_ms").alias("datetime_utc"), *cols, "volume", F.lit(interval).alias("interval"), F.lit(source).alias("source"))
 
 
-def eod_bars(spark: SparkSession, path: str, source: str = "eodhd", multi_line: bool = True) -> DataFrame:
+def _json(spark: SparkSession, path: str, schema: StructType, multi_line: bool, stream_files: int | None) -> DataFrame:
+    """Landed JSON with its ticker, as a table or, with ``stream_files`` (0: no limit of files a batch), as a stream over folders named ``ticker=...``."""
+    if stream_files is None:
+        return _with_ticker(spark.read.schema(schema).option("multiLine", multi_line).json(path))
+    r = spark.readStream.schema(StructType(list(schema.fields)).add("ticker", "string")).option("multiLine", multi_line)
+    return _with_ticker((r.option("maxFilesPerTrigger", stream_files) if stream_files else r).json(path))
+
+
+def eod_bars(spark: SparkSession, path: str, source: str = "eodhd", multi_line: bool = True, stream_files: int | None = None) -> DataFrame:
     """Daily bars from one JSON array per ticker; rows with an unreadable date are dropped, times are midnight UTC."""
-    raw = _with_ticker(spark.read.schema(schemas.EOD_BAR).option("multiLine", multi_line).json(path))
+    raw = _json(spark, path, schemas.EOD_BAR, multi_line, stream_files)
     ms = F.unix_millis(F.try_to_timestamp("date", F.lit("yyyy-MM-dd")))
     return _bars(raw.withColumn("timestamp_ms", ms).filter("timestamp_ms IS NOT NULL"), "1d", source)
 
 
-def intraday_bars(spark: SparkSession, path: str, interval: str = "5m", source: str = "eodhd", multi_line: bool = True) -> DataFrame:
+def intraday_bars(spark: SparkSession, path: str, interval: str = "5m", source: str = "eodhd", multi_line: bool = True, stream_files: int | None = None) -> DataFrame:
     """Intraday bars from epoch seconds; null and zero times are dropped."""
-    raw = _with_ticker(spark.read.schema(schemas.INTRADAY_BAR).option("multiLine", multi_line).json(path))
+    raw = _json(spark, path, schemas.INTRADAY_BAR, multi_line, stream_files)
     return _bars(raw.filter("timestamp <> 0").withColumn("timestamp_ms", F.col("timestamp") * 1000), interval, source)
 
 

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidemark.config import FUSION_WINDOWS
 from tidemark.functions.expressions import reference_ms, window_minutes
-from tidemark.operators import fusion, sentiment, store
+from tidemark.operators import articles, fusion, sentiment, store
+from tidemark.sources import readers
+from tidemark.streaming.ledger import committed, stored_rows, write_tables
 
 
 def table_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None, file_format: str = "parquet") -> DataFrame:
@@ -19,20 +22,11 @@ def table_stream(spark: SparkSession, path: str, schema: StructType, files_per_b
     return (r.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else r).format(file_format).load(path)
 
 
-def _table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as e:  # only a table that has not been written yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def insert_stream(stream: DataFrame, target: str, checkpoint: str, new_rows: Callable[[DataFrame, DataFrame], DataFrame], once: bool = True) -> StreamingQuery:
     """Append to ``target`` what ``new_rows(batch, stored)`` finds new in each micro-batch."""
 
     def write(batch: DataFrame, _: int) -> None:
-        new_rows(batch, _table(batch.sparkSession, target, batch.schema)).write.mode("append").parquet(target)
+        new_rows(batch, stored_rows(batch.sparkSession, target, batch.schema)).write.mode("append").parquet(target)
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w).start()
@@ -48,31 +42,86 @@ def fuse_stream(bars: DataFrame, news: Callable[[], DataFrame], target: str, che
 
     def write(batch: DataFrame, _: int) -> None:
         fused = fusion.fuse(batch, news(), intervals=intervals)
-        done = _table(batch.sparkSession, target, fused.schema)
+        done = stored_rows(batch.sparkSession, target, fused.schema)
         fusion.fuse_incremental(batch, news(), done, intervals=intervals).write.mode("append").parquet(target)
 
     w = bars.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w).start()
 
 
-def fuse_join(bars: DataFrame, news: DataFrame, late: str = "10 minutes") -> DataFrame:
+def fuse_join(bars: DataFrame, news: DataFrame, late: str = "10 minutes", intervals: list[str] | None = None) -> DataFrame:
     """Flat pairs of two streams: a left outer join on the ticker and the bar's window, with watermarks on both sides.
 
-    A bar without news comes out when the watermark has passed the end of its window; later news is dropped.
+    A bar without news comes out once, when the watermark has passed the end of its window; later news is dropped. State is held for the
+    widest window of ``intervals`` (of all known ones if not given), so streams of short bars hold little.
     """
+    back, ahead = (max(FUSION_WINDOWS[i][side] for i in intervals or FUSION_WINDOWS) for side in (0, 1))
     ref = reference_ms(F.col("interval"), F.col("timestamp_ms"))
     b = bars.select(F.col("ticker").alias("b_ticker"), "interval", "timestamp_ms", F.timestamp_millis(ref).alias("bar_time"), window_minutes(F.col("interval"), 0).alias("back"), window_minutes(F.col("interval"), 1).alias("ahead")).withWatermark("bar_time", late)
     n = news.select(F.col("ticker").alias("n_ticker"), "dedup_key", F.timestamp_millis("published_ms").alias("news_time")).withWatermark("news_time", late)
-    near = F.expr("b_ticker = n_ticker AND news_time >= bar_time - INTERVAL 1440 MINUTES AND news_time <= bar_time + INTERVAL 5760 MINUTES AND news_time >= bar_time - make_interval(0, 0, 0, 0, 0, back) AND news_time <= bar_time + make_interval(0, 0, 0, 0, 0, ahead)")
+    near = F.expr(
+        f"b_ticker = n_ticker AND news_time >= bar_time - INTERVAL {back} MINUTES AND news_time <= bar_time + INTERVAL {ahead} MINUTES"
+        " AND news_time >= bar_time - make_interval(0, 0, 0, 0, 0, back) AND news_time <= bar_time + make_interval(0, 0, 0, 0, 0, ahead)"
+    )
     return b.join(n, near, "leftOuter").select(F.col("b_ticker").alias("ticker"), "interval", "timestamp_ms", "dedup_key", ((F.unix_millis("news_time") - F.unix_millis("bar_time")) / 60_000).alias("offset_min"))
 
 
+def enrich_stream(events: DataFrame, news: Callable[[], DataFrame], scores: str, enriched: str, ledger: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Score the articles of each micro-batch of fused events that have no score yet, then write the events with all scores of their articles.
+
+    Both tables get each micro-batch exactly once (``ledger.write_tables``); read them with ``ledger.committed``.
+    """
+    kept = sentiment.score_articles(news()).schema
+
+    def of(batch: DataFrame) -> DataFrame:
+        return batch.select(F.explode("news_context.dedup_key").alias("dedup_key")).distinct()
+
+    def stored(batch: DataFrame) -> DataFrame:
+        all_ = committed(batch.sparkSession, "scores", scores, ledger, kept)
+        return all_.join(of(batch).withColumnRenamed("dedup_key", "source_dedup_key"), "source_dedup_key", "left_semi")
+
+    def new_scores(batch: DataFrame) -> DataFrame:
+        own = store.first_of_key(news().join(of(batch), "dedup_key", "left_semi"), ["dedup_key"])
+        return sentiment.score_articles(sentiment.unscored(own, stored(batch)))
+
+    return write_tables(events, [("scores", scores, new_scores), ("enriched", enriched, lambda batch: sentiment.enrich_fused(batch, stored(batch)))], ledger, checkpoint, once)
+
+
+def bar_stream(spark: SparkSession, path: str, interval: str = "5m", files_per_batch: int | None = None) -> DataFrame:
+    """Landed polls of bars, daily ones by date and others by epoch seconds, through the same projection as the batch readers."""
+    read = readers.eod_bars if interval == "1d" else readers.intraday_bars
+    more = {} if interval == "1d" else {"interval": interval}
+    return read(spark, path, multi_line=False, stream_files=files_per_batch or 0, **more)
+
+
+def record_stream(spark: SparkSession, path: str, names: DataFrame, files_per_batch: int | None = None) -> DataFrame:
+    """Landed open-data records as articles; a row of the stream is taken alone, as a stream has no joins with itself."""
+    lines = table_stream(spark, path, StructType().add("line", "string"), files_per_batch, "text")
+    return articles.articles_by_row(articles.split_records(lines), names)
+
+
+def sink(stream: DataFrame, target: str, checkpoint: str, once: bool = True, idle: bool = True) -> StreamingQuery:
+    """Append to a table with Spark's file sink, each micro-batch once.
+
+    ``idle``: whether batches without data may run. Joins need them to let go of what the watermark has passed; keyed state
+    with a time to live asks for one after the other, so that a run over what has landed would never end.
+    """
+    w = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+    conf, key = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(key)
+    conf.set(key, before if idle else "false")
+    try:
+        return (w.trigger(availableNow=True) if once else w).start()  # the query keeps the setting that it starts with
+    finally:
+        conf.set(key, before)
+
+
 def score_stream(news: DataFrame, target: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Score articles that have no score yet and append the scores."""
 
     def new_rows(batch: DataFrame, _: int) -> None:
         fresh = sentiment.score_articles(batch)
-        done = _table(batch.sparkSession, target, fresh.schema)
+        done = stored_rows(batch.sparkSession, target, fresh.schema)
         store.new_documents(sentiment.score_articles(sentiment.unscored(batch, done)), done).write.mode("append").parquet(target)
 
     w = news.writeStream.foreachBatch(new_rows).option("checkpointLocation", checkpoint)
