@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.config import FUSION_WINDOWS, MOST_NEWS_PER_BAR
 from tidemark.functions.expressions import reference_ms, window_minutes
+from tidemark.operators import versions
 
 BAR_KEY = ["ticker", "interval", "timestamp_ms"]
 MINUTE = 60_000
@@ -109,6 +111,26 @@ def fuse_incremental(bars: DataFrame, news: DataFrame, fused_before: DataFrame,
     return fuse(bars.join(done, BAR_KEY, "left_anti"), news, intervals=intervals)
 
 
+def refresh_fused(bars: DataFrame, news: DataFrame, root: str, from_ms: int, intervals: list[str] | None = None) -> int:
+    """Fuse the bars of whole days from ``from_ms`` on (midnight UTC) again, and those not fused before, as a new version of a table by day.
+
+    Days before that keep their frozen events and gain those of bars that came since; a day without either keeps its files.
+    """
+    spark, event = bars.sparkSession, fuse(bars, news, intervals=intervals)
+    before = versions.read(spark, root, StructType(list(event.schema.fields)).add("day", "string"))
+    fresh = with_day(fuse_incremental(bars, news, before, refresh_from_ms=from_ms, intervals=intervals))
+    frozen = before.filter(F.col("timestamp_ms") < from_ms)
+    # days that gain events: read from the bars, so that neither side is fused for it
+    gaining = with_day(bars.filter(F.col("timestamp_ms") < from_ms).join(frozen.select(*BAR_KEY), BAR_KEY, "left_anti")).select("day").distinct()
+    kept = frozen.join(gaining, "day", "left_semi").select(*fresh.columns)
+    ended = before.filter(F.col("timestamp_ms") >= from_ms).select("day").distinct()
+    return versions.refresh(fresh.unionByName(kept), root, "day", ended)
+
+
+def with_day(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("day", F.date_format(F.timestamp_millis("timestamp_ms"), "yyyy-MM-dd"))
+
+
 def fusion_stats(fused: DataFrame) -> DataFrame:
     return fused.agg(
         F.countDistinct("ticker").alias("tickers"), F.count("*").alias("events"), F.count_if(F.col("news_count") > 0).alias("events_with_news"),

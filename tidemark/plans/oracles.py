@@ -93,6 +93,13 @@ WHERE relevance >= 30""",
     "lex0": r"""SELECT ticker, dedup_key, string_split_regex(lower(left(title, 512)), '[^\p{L}]+') AS w FROM fx_news WHERE title <> ''""",
     "batch": """SELECT ticker, event_id, CASE WHEN event_id % 10 <> 0 THEN dedup_key END AS dedup_key FROM fx_news""",
 }
+# the fusion of two thirds of the news
+_OLD = {"FROM pairs": "FROM pairs_old", "FROM topk": "FROM topk_old", "JOIN topk": "JOIN topk_old", "FROM fused": "FROM fused_old", "JOIN fx_news n": "JOIN (SELECT * FROM fx_news WHERE event_id % 3 <> 0) n"}
+for _part in ("pairs", "topk", "fused", "flat"):
+    _body = PARTS[_part]
+    for _of, _to in _OLD.items():
+        _body = _body.replace(_of, _to)
+    PARTS[f"{_part}_old"] = _body
 _FUSION = ["win", "bars", "pairs", "topk"]
 _EVENTS = [*_FUSION, "fused"]
 _UNI = ["uni", "got", "merged"]
@@ -131,6 +138,9 @@ FROM pairs p WHERE (p.dedup_key, p.ticker) IN (SELECT (dedup_key, ticker) FROM m
     "fusion_pool": _sql("SELECT ticker, dedup_key, FALSE AS is_foreign FROM fx_news UNION ALL SELECT m.ticker, m.dedup_key, TRUE FROM mapping m JOIN fx_news n USING (dedup_key) WHERE m.ticker <> n.ticker", *_ENT),
     "fusion_incremental": _sql("SELECT * FROM flat WHERE timestamp_ms % 1200000 <> 0", *_EVENTS, "flat"),
     "fusion_refresh": _sql("SELECT * FROM flat WHERE timestamp_ms % 1200000 <> 0 OR timestamp_ms >= (SELECT max(timestamp_ms) - 86400000 FROM fx_price)", *_EVENTS, "flat"),
+    "fusion_refresh_table": _sql("""SELECT * FROM flat WHERE timestamp_ms % 1500000 = 0 OR timestamp_ms >= (SELECT max(timestamp_ms) // 86400000 * 86400000 - 172800000 FROM fx_price)
+UNION ALL SELECT * FROM flat_old WHERE timestamp_ms % 1500000 <> 0 AND timestamp_ms < (SELECT max(timestamp_ms) // 86400000 * 86400000 - 172800000 FROM fx_price)""", *_EVENTS, "flat", "pairs_old", "topk_old", "fused_old", "flat_old"),
+    "store_insert_partitioned": _sql(_BARS.format(where="TRUE", source="eodhd")),
     "store_insert_prices": _sql("""SELECT ticker, "interval", timestamp_ms, round(open * 100)::BIGINT AS open, round(high * 100)::BIGINT AS high, round(low * 100)::BIGINT AS low, round(close * 100)::BIGINT AS close, volume, 'eodhd' AS source
 FROM fx_price WHERE timestamp_ms % 900000 <> 0"""),
     "store_insert_documents": _sql("""SELECT ticker, event_id, dedup_key FROM batch WHERE dedup_key IS NOT NULL AND event_id % 3 <> 0

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.expressions import in_market_hours, parse_published, strip_boilerplate
-from tidemark.operators import articles, audit, entities, fusion, sentiment, serving, store, universe
+from tidemark.operators import articles, audit, entities, fusion, sentiment, serving, store, universe, versions
 from tidemark.plans.fixtures import INTERVALS, Tables
 from tidemark.plans.shared import shared_path, stored
 from tidemark.sources import readers
@@ -87,6 +88,17 @@ def fusion_refresh(t: Tables) -> DataFrame:
     return fusion.flat(fusion.fuse_incremental(t.price, t.news, t.price.filter("timestamp_ms % 1200000 = 0"), refresh_from_ms=late, intervals=INTERVALS))
 
 
+@query
+def fusion_refresh_table(t: Tables) -> DataFrame:
+    """A table by day: fused with two thirds of the news and most bars, then the last three days refreshed and late bars added with all news."""
+    root = shared_path(t.spark, "fused")
+    last = t.price.agg(F.max("timestamp_ms")).first()[0] // 86_400_000 * 86_400_000
+    fusion.refresh_fused(t.price.filter("timestamp_ms % 1500000 <> 0"), t.news.filter("event_id % 3 <> 0"), root, 0, INTERVALS)
+    fusion.refresh_fused(t.price, t.news, root, last - 2 * 86_400_000, INTERVALS)
+    event = fusion.fuse(t.price, t.news, intervals=INTERVALS).schema
+    return fusion.flat(versions.read(t.spark, root, StructType(list(event.fields)).add("day", "string")))
+
+
 # ---- store ----
 
 
@@ -100,6 +112,16 @@ def store_insert_prices(t: Tables) -> DataFrame:
     return store.new_prices(batch, before).select("ticker", "interval", "timestamp_ms", *[F.round(F.col(c).cast("double") * 100).cast("long").alias(c) for c in ("open", "high", "low", "close")], "volume", "source")
 
 
+@query
+def store_insert_partitioned(t: Tables) -> DataFrame:
+    """Two batches into the table by interval and day, the second with bars that the first has had."""
+    path = shared_path(t.spark, "prices")
+    batch, before = _price_batch(t)
+    store.insert_prices(before, path)
+    store.insert_prices(batch, path)
+    return _cents(t.spark.read.parquet(path).withColumn("interval", F.col("interval").cast("string")))
+
+
 def _document_batch(t: Tables) -> tuple[DataFrame, DataFrame]:
     n = t.news.withColumn("dedup_key", F.when(F.col("event_id") % 10 != 0, F.col("dedup_key"))).select("ticker", "event_id", "dedup_key")
     return n.unionAll(n), n.filter("event_id % 3 = 0")
