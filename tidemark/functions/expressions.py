@@ -53,10 +53,14 @@ def in_market_hours(ms: Column) -> Column:
 
 
 def strip_boilerplate(text: Column) -> Column:
-    """Trimmed paragraphs that are neither blank nor hold a boilerplate phrase, in any case."""
+    """Trimmed paragraphs that are neither blank nor hold a boilerplate phrase, in any case. Paragraphs are looked at one by one only in texts with a phrase."""
+    whole = F.coalesce(text, F.lit(""))
     phrases = "(?i)" + "|".join(re.escape(p).replace("\\ ", " ") for p in BOILERPLATE_PHRASES)
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda p: F.regexp_replace(p, r"^\s+|\s+$", ""))
-    return F.array_join(F.filter(lines, lambda p: (p != "") & ~p.rlike(phrases)), "\n")
+    low, found = F.lower(whole), F.lit(False)
+    for p in BOILERPLATE_PHRASES:
+        found = found | low.contains(p.lower())
+    lines = F.filter(F.transform(F.split(whole, "\n"), lambda p: F.btrim(p, F.lit(" \t\n\x0b\f\r"))), lambda p: p != "")
+    return F.array_join(F.when(found, F.filter(lines, lambda p: ~p.rlike(phrases))).otherwise(lines), "\n")
 
 
 def extract_orgs(text: Column) -> Column:

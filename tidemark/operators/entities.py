@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import LEGAL_FORM_LOOKUP, OPEN_SOURCES, RELEVANCE_THRESHOLD
 from tidemark.functions.expressions import extract_orgs, strip_boilerplate
+from tidemark.shared import checkpointed
 
 MATCH = "array<struct<ticker string, match_type string>>"
 
@@ -40,35 +41,54 @@ def article_orgs(news: DataFrame) -> DataFrame:
     return clean.withColumn("orgs", extract_orgs(F.concat(F.coalesce("title", F.lit("")), F.lit("\n\n"), F.col("clean"))))
 
 
-#: Letters of a name that a piece of text holds at the place where the name may lie in it.
-PIECE = 3
+#: Letters of a gram by which texts meet the pieces of text that they may hold.
+GRAM = 3
 
 
-def _pieces(text: Column) -> Column:
-    """Distinct runs of up to ``PIECE`` letters at each place of a text, shorter ones included."""
-    at = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-    return F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(*[F.substring(text, i, F.lit(k)) for k in range(1, PIECE + 1)]))))
+def _grams(df: DataFrame, text: str, size: int) -> DataFrame:
+    """One row for each place of a text where ``size`` letters follow: the columns, gram and at (from 1)."""
+    n = F.length(text) - size + 1
+    at = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return df.select("*", F.explode(at).alias("at")).withColumn("gram", F.substring(F.col(text), F.col("at"), F.lit(size)))
 
 
 def _holds(long: DataFrame, text: str, short: DataFrame, part: str) -> DataFrame:
-    """Rows of both tables where ``text`` contains ``part``: an equal join on the part's first letters, then the test itself."""
-    a = long.withColumn("_piece", F.explode(_pieces(F.col(text))))
-    b = short.withColumn("_piece", F.substring(part, 1, PIECE))
-    return a.join(b, "_piece").filter(F.col(text).contains(F.col(part))).drop("_piece")
+    """Rows of both tables where ``text`` contains ``part``.
 
-
-def org_candidates(orgs: DataFrame, lookup: DataFrame) -> DataFrame:
-    """(org, exact, partial) for distinct organisations: the ticker of that very name, and all tickers of names that hold it or lie in it.
-
-    The substring joins run over distinct organisations and the lookup (four names a company), not over articles.
+    A part is looked for by its rarest gram alone, rarest among the grams of all texts, and must then stand at the place that the gram
+    has in it; a part with a gram that no text has meets nothing. Parts shorter than a gram are grams themselves: each text meets one once, and
+    each meeting is a result.
+    """
+    texts = _grams(long, text, GRAM)
+    often = texts.groupBy("gram").agg(F.count("*").alias("n"))
+    own = [F.col(c) for c in short.columns]
+    grams = _grams(short.filter(F.length(part) >= GRAM), part, GRAM).join(often, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = grams.groupBy(*own).agg(F.min(F.struct("n", "gram", "at")).alias("r")).filter("r.n > 0").select(*own, F.col("r.gram").alias("gram"), F.col("r.at").alias("inside"))
+    start = F.col("at") - F.col("inside") + 1
+    met = texts.join(rarest, "gram").filter((start >= 1) & (F.substring(F.col(text), start, F.length(part)) == F.col(part))).select(*long.columns, *own)
+    out = met
+    for size in range(1, GRAM):
+        brief = short.filter(F.length(part) == size).withColumn("gram", F.col(part))
+        out = out.unionAll(_grams(long, text, size).join(brief, "gram").select(*long.columns, *own))
+    return out.distinct()
+
+
+def org_candidates(orgs: DataFrame, lookup: DataFrame, most: int | None = None) -> DataFrame:
+    """(org, exact, partial) for distinct organisations: the ticker of that very name, and the tickers of names that hold it or lie in it.
+
+    ``partial`` is in order of the lookup, each ticker once and at most ``most``, cut before they are gathered. The cut is exact for a fold over articles of at
+    most that many organisations: those before have taken at most ``most`` - 1 of them.
     """
     names = lookup.select("name", F.col("ticker").alias("t"), "ord")
     low = orgs.select("org").distinct().withColumn("low", F.lower("org"))
-    found = _holds(low, "low", names, "name").select("org", "low", "name", "t", "ord").unionAll(_holds(names, "name", low, "low").filter("name <> low").select("org", "low", "name", "t", "ord"))
-    return found.groupBy("org").agg(
-        F.max(F.when(F.col("low") == F.col("name"), F.col("t"))).alias("exact"),
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "t"))), lambda x: x["t"]).alias("partial"),
-    )
+    cols = ["org", "low", "name", "t", "ord"]
+    found = _holds(low, "low", names, "name").select(cols).unionAll(_holds(names, "name", low, "low").filter("name <> low").select(cols))
+    first = found.groupBy("org", "t").agg(F.min("ord").alias("ord"))
+    if most is not None:
+        first = first.withColumn("_n", F.row_number().over(Window.partitionBy("org").orderBy("ord"))).filter(F.col("_n") <= most)
+    partial = first.groupBy("org").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "t"))), lambda x: x["t"]).alias("partial"))
+    same = low.join(names, F.col("low") == F.col("name")).groupBy("org").agg(F.max("t").alias("exact"))
+    return partial.join(same, "org", "left").select("org", "exact", "partial")
 
 
 def _take(seen: Column, org: Column) -> Column:
@@ -82,8 +102,10 @@ def _take(seen: Column, org: Column) -> Column:
 
 def org_matches(articles: DataFrame, lookup: DataFrame) -> DataFrame:
     """(dedup_key, ticker, match_type): each article's organisations, in alphabetical order, each given a ticker not taken before."""
-    orgs = articles.select("dedup_key", F.explode("orgs").alias("org"))
-    cand = org_candidates(orgs, lookup)
+    # reading whole contents is the dear part, so it is done once
+    orgs = checkpointed(articles.select("dedup_key", F.explode("orgs").alias("org")))
+    most = orgs.groupBy("dedup_key").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    cand = checkpointed(org_candidates(checkpointed(orgs.select("org").distinct()), checkpointed(lookup), most))
     per = orgs.join(cand, "org").groupBy("dedup_key").agg(F.array_sort(F.collect_list(F.struct("org", "exact", "partial"))).alias("c"))
     folded = per.select("dedup_key", F.explode(F.aggregate("c", F.array().cast(MATCH), _take)).alias("m"))
     return folded.select("dedup_key", "m.ticker", "m.match_type")

@@ -1,26 +1,5 @@
-"""The folder that driver and executors share."""
+"""The folder that driver and executors share, for the registered queries."""
 
-from __future__ import annotations
+from tidemark.shared import shared_path, stored
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_path(spark: SparkSession, what: str) -> str:
-    """A new path in the shared folder; on a local master a temporary folder where none is named."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return f"{folder}/{what}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """Write a table in the shared folder and read it again."""
-    path = shared_path(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["shared_path", "stored"]
