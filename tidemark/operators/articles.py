@@ -22,11 +22,19 @@ def org_name_map(companies: DataFrame) -> DataFrame:
     return rows.groupBy("name").agg(F.min(F.struct("ticker", "no")).alias("w")).select("name", F.col("w.ticker").alias("ticker"))
 
 
+# Places of the fields in use.
+PLACES = {"record_id": 0, "date": 1, "publisher": 3, "url": 4, "themes": 7, "orgs": 13, "tone_field": 15}
+
+
 def split_records(lines: DataFrame, line: str = "line") -> DataFrame:
     """Fields in use of tab-separated records; shorter records are dropped."""
-    f = lines.withColumn("_f", F.split(F.col(line), "\t")).filter(F.size("_f") >= GKG_FIELDS)
-    at = {"record_id": 0, "date": 1, "publisher": 3, "url": 4, "themes": 7, "orgs": 13, "tone_field": 15}
-    return f.select(*[c for c in lines.columns if c != line], *[F.get("_f", F.lit(i)).alias(k) for k, i in at.items()])
+    return field_records(lines.withColumn("fields", F.split(F.col(line), "\t")).drop(line))
+
+
+def field_records(rows: DataFrame) -> DataFrame:
+    """The same of records whose ``fields`` have been told apart."""
+    f = rows.filter(F.size("fields") >= GKG_FIELDS)
+    return f.select(*[c for c in rows.columns if c != "fields"], *[F.get("fields", F.lit(i)).alias(k) for k, i in PLACES.items()])
 
 
 def staged(records: DataFrame, names: DataFrame) -> DataFrame:
@@ -81,6 +89,20 @@ def historical(records: DataFrame, names: DataFrame, existing: DataFrame, snapsh
     return new_documents(to_articles(records, names, "gdelt_historical", (snapshot,)), existing, snapshot)
 
 
+def snapshot_articles(files: DataFrame, names: DataFrame, existing: DataFrame) -> DataFrame:
+    """New articles of landed snapshots (rows of the ``record_files`` source), with their file; broken archives give none."""
+    records = field_records(files.filter("error IS NULL").select("file", "fields"))
+    return historical(records, names, existing, "file")
+
+
+def snapshot_totals(files: DataFrame, new: DataFrame) -> DataFrame:
+    """For each file: records read and those of full width, new articles, and why it was skipped if it was."""
+    read = files.groupBy("file").agg(
+        F.count("fields").alias("records"), F.count_if(F.size("fields") >= GKG_FIELDS).alias("full"), F.max("error").alias("error"),
+    )
+    return read.join(new.groupBy("file").agg(F.count("*").alias("articles")), "file", "left").fillna(0, ["articles"])
+
+
 def cap_pages(pages: DataFrame, page_size: int = 1000, most_pages: int = 50) -> DataFrame:
     """Rows of (ticker, page, n) up to and including the first short or empty page of each ticker, at most ``most_pages``."""
     w = Window.partitionBy("ticker").orderBy("page")

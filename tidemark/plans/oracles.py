@@ -156,6 +156,12 @@ UNION ALL (SELECT * FROM batch WHERE dedup_key IS NULL UNION ALL SELECT * FROM b
     "gkg_articles": _sql("SELECT 'gdelt|' || record_id || '|' || ticker AS dedup_key, ticker, published_ms, url, publisher, array_to_string(tickers, ',') AS symbols, array_to_string(tags, ',') AS tags FROM arts", *_REC, "arts"),
     "gkg_historical": _sql("""SELECT 'gdelt_historical' AS source, substr(record_id, 2)::BIGINT % 60 AS snapshot, count(*) AS articles, min(published_ms) AS first_ms
 FROM arts WHERE record_id NOT LIKE '%0' GROUP BY ALL""", *_REC, "arts"),
+    "gkg_archives": _sql("""SELECT lpad(f.k::VARCHAR, 8, '0') || '.gkg.csv.zip' AS file, CASE WHEN f.k % 12 IN (3, 7) THEN 0 ELSE f.records END AS records, CASE WHEN f.k % 12 IN (3, 7) THEN 0 ELSE f."full" END AS "full",
+CASE WHEN f.k % 12 IN (3, 7) THEN 0 ELSE coalesce(a.n, 0) END AS articles, f.k % 12 IN (3, 7) AS skipped
+FROM (SELECT line_no // 250 AS k, count(*) AS records, count(*) FILTER (len(string_split(line, chr(9))) >= 27) AS "full" FROM fx_gkg_line GROUP BY 1) f
+LEFT JOIN (SELECT substr(record_id, 2)::BIGINT // 250 AS k, count(*) AS n FROM arts WHERE substr(record_id, 2)::BIGINT % 5 <> 0 GROUP BY 1) a USING (k)""", *_REC, "arts"),
+    "stream_archives": _sql("""SELECT 'gdelt|' || record_id || '|' || ticker AS dedup_key, lpad((substr(record_id, 2)::BIGINT // 250)::VARCHAR, 8, '0') || '.gkg.csv.zip' AS file, published_ms, array_to_string(tickers, ',') AS symbols
+FROM arts WHERE substr(record_id, 2)::BIGINT // 250 % 12 NOT IN (3, 7)""", *_REC, "arts"),
     "gkg_counters": _sql("""SELECT count(*) AS seen, count(*) FILTER (len(tags) > 0) AS with_theme, count(*) FILTER (len(tickers) > 0) AS with_org, (SELECT count(*) FROM arts) AS articles
 FROM rec_t LEFT JOIN rec_o USING (record_id) WHERE url <> '' AND date <> '' AND record_id <> ''""", *_REC, "arts"),
     "gkg_tone": _sql(f"""SELECT 'gdelt|' || record_id || '|' || ticker AS dedup_key, {_tone(1, 'tone_score')}, {_tone(2, 'positive')}, {_tone(3, 'negative')}, {_tone(4, 'polarity')}, {_tone(5, 'activity_ref_density')}, {_tone(7, 'word_count', 'INT')}

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,7 +16,7 @@ from tidemark.functions.expressions import in_market_hours, parse_published, str
 from tidemark.operators import articles, audit, entities, fusion, sentiment, serving, store, universe, versions
 from tidemark.plans.fixtures import INTERVALS, Tables
 from tidemark.plans.shared import shared_path, stored
-from tidemark.sources import readers
+from tidemark.sources import archives, readers
 from tidemark.streaming import state, streams
 from tidemark.streaming.ledger import committed
 
@@ -230,6 +234,49 @@ def gkg_counters(t: Tables) -> DataFrame:
     return articles.counters(*_records(t))
 
 
+def _zipped(t: Tables) -> str:
+    """Snapshots of 250 numbers as archives, written by tasks; every seventh record has a quoted field over two lines, two of twelve snapshots are cut short or no archive."""
+    path = shared_path(t.spark, "snapshots")
+    lines = t.gkg_line.select((F.floor(F.col("line_no") / 250)).alias("snapshot"), "line_no", "line")
+
+    def write(batch: pd.DataFrame) -> pd.DataFrame:
+        k, text = int(batch["snapshot"].iloc[0]), io.BytesIO()
+        rows = [x.replace("\t\t\t", '\t"a\t""b""\nc"\t\t', 1) if n % 7 == 0 else x for n, x in sorted(zip(batch["line_no"], batch["line"], strict=True))]
+        with zipfile.ZipFile(text, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr(f"{k}.csv", "\n".join(rows) + "\n")
+        whole = text.getvalue()
+        system, folder = fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+        system.create_dir(folder)
+        with system.open_output_stream(f"{folder}/{k:08d}.gkg.csv.zip") as f:
+            f.write(whole[: len(whole) // 2] if k % 12 == 3 else b"no archive" if k % 12 == 7 else whole)
+        return batch[["snapshot"]].head(1)
+
+    lines.groupBy("snapshot").applyInPandas(write, "snapshot long").write.format("noop").mode("overwrite").save()
+    return path
+
+
+@query
+def gkg_archives(t: Tables) -> DataFrame:
+    """Totals of each landed archive: what was read, what was new, and which were skipped."""
+    archives.register(t.spark)
+    files = t.spark.read.format("record_files").load(_zipped(t))
+    names = articles.org_name_map(t.company)
+    before = articles.to_articles(articles.split_records(t.gkg_line.filter("line_no % 5 = 0").drop("line_no")), names).select("dedup_key")
+    totals = articles.snapshot_totals(files, articles.snapshot_articles(files, names, before))
+    return totals.select("file", "records", "full", "articles", F.col("error").isNotNull().alias("skipped"))
+
+
+@query
+def stream_archives(t: Tables) -> DataFrame:
+    """The same archives as a stream to articles."""
+    archives.register(t.spark)
+    landed, target = _zipped(t), shared_path(t.spark, "articles")
+    rows = t.spark.readStream.format("record_files").load(landed).filter("error IS NULL").select("file", "fields")
+    found = state.new_articles(articles.articles_by_row(articles.field_records(rows), articles.org_name_map(t.company), keep=("file",)))
+    streams.sink(found, target, shared_path(t.spark, "checkpoint"), idle=False).awaitTermination()
+    return t.spark.read.schema(found.schema).parquet(target).select("dedup_key", "file", "published_ms", F.array_join("symbols_mentioned", ",").alias("symbols"))
+
+
 @query
 def gkg_tone(t: Tables) -> DataFrame:
     return articles.to_articles(*_records(t)).select("dedup_key", "tone.*")
