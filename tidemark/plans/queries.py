@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.expressions import in_market_hours, parse_published, strip_boilerplate
-from tidemark.operators import articles, audit, entities, fusion, sentiment, serving, store, universe, versions
+from tidemark.operators import articles, asof, audit, entities, fusion, sentiment, serving, sketches, store, universe, versions
 from tidemark.plans.fixtures import INTERVALS, Tables
 from tidemark.plans.shared import shared_path, stored
 from tidemark.sources import archives, readers
@@ -103,6 +103,11 @@ def fusion_refresh_table(t: Tables) -> DataFrame:
     return fusion.flat(versions.read(t.spark, root, StructType(list(event.fields)).add("day", "string")))
 
 
+@query
+def fusion_asof(t: Tables) -> DataFrame:
+    return asof.latest_before(t.price, t.news).select("ticker", "interval", "timestamp_ms", "dedup_key", "age_ms")
+
+
 # ---- store ----
 
 
@@ -575,6 +580,20 @@ def store_log(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select("job", "run_id", F.unix_millis("start_time").alias("start_ms"), "records", F.col("latency_seconds").cast("double").alias("seconds"), "status", "error_message")
 
 
+@query
+def audit_sketches(t: Tables) -> DataFrame:
+    """Distinct articles and the middle tone by source from sketches by day, one day sketched twice, beside exact counts."""
+    root, own = shared_path(t.spark, "sketches"), (["source"], "dedup_key", "tone", "published_ms")
+    n = t.news.select("source", "dedup_key", "published_ms", F.coalesce("tone_score", F.col("k") / 10.0).alias("tone"))
+    start = t.event.agg(F.min("ms")).first()[0] // 86_400_000 * 86_400_000
+    sketches.refresh(n, root, *own)
+    sketches.refresh(n, root, *own, from_ms=start, to_ms=start + 86_400_000)
+    found = sketches.report(t.spark, root, sketches.schema(n, *own), ["source"])
+    exact = n.groupBy("source").agg(F.countDistinct("dedup_key").alias("exact"), F.percentile_approx("tone", 0.45, 100_000).alias("lo"), F.percentile_approx("tone", 0.55, 100_000).alias("hi"))
+    close = F.abs(F.col("distinct") - F.col("exact")) <= 0.02 * F.col("exact")
+    return found.join(exact, "source").select("source", "n", "exact", close.alias("within_2_pct"), F.col("q50").between(F.col("lo"), F.col("hi")).alias("middle_holds"))
+
+
 # ---- streams: landed files read to their end, micro-batch by micro-batch ----
 
 
@@ -687,3 +706,19 @@ def stream_scores(t: Tables) -> DataFrame:
     n.unionAll(n).repartition(4).write.parquet(landed)
     streams.score_stream(streams.table_stream(t.spark, landed, n.schema, 2), target, shared_path(t.spark, "checkpoint")).awaitTermination()
     return t.spark.read.parquet(target).select("dedup_key", "ticker", "model", "label", F.round(F.col("confidence") * 10_000).cast("long").alias("confidence"))
+
+
+@query
+def stream_sessions(t: Tables) -> DataFrame:
+    """Runs of articles with at most two hours between them, from three polls in order of time; a row far ahead closes the last ones."""
+    landed, target, checkpoint = (shared_path(t.spark, x) for x in ("news", "sessions", "checkpoint"))
+    n = t.news.select("ticker", F.timestamp_millis("published_ms").alias("published"))
+    first, last = t.event.agg(F.min("ms"), F.max("ms")).first()
+    cuts = [first - 1, first + (last - first) // 2, last]
+    for lo, hi in zip(cuts, [*cuts[1:], None], strict=True):
+        ms = F.unix_millis("published")
+        part = n.filter((ms > lo) & (ms <= hi)) if hi else n.sparkSession.range(1).select(F.lit("").alias("ticker"), F.timestamp_millis(F.lit(last + 30 * 86_400_000)).alias("published"))
+        part.write.mode("append").parquet(landed)
+        s = streams.sessions(streams.table_stream(t.spark, landed, n.schema))
+        streams.sink(s, target, checkpoint).awaitTermination()
+    return t.spark.read.schema(s.schema).parquet(target).filter("ticker <> ''")

@@ -135,3 +135,16 @@ def tone_windows(news: DataFrame, time: str = "published", width: str = "15 minu
         .agg(F.count("*").alias("articles"), F.count("tone_score").alias("with_tone"), F.round(F.avg("tone_score"), 6).alias("mean_tone"))
         .select("ticker", F.unix_millis("w.start").alias("window_ms"), "articles", "with_tone", "mean_tone")
     )
+
+
+def sessions(news: DataFrame, time: str = "published", gap: str = "2 hours", late: str = "1 hour") -> DataFrame:
+    """Runs of a ticker's articles with at most ``gap`` between neighbours; a run comes out when the watermark has passed its end by the gap, rows later than that are dropped."""
+    return (
+        news.withWatermark(time, late).groupBy("ticker", F.session_window(time, gap).alias("w")).agg(F.count("*").alias("articles"), F.max(time).alias("last"))
+        .select("ticker", F.unix_millis("w.start").alias("start_ms"), F.unix_millis("last").alias("last_ms"), "articles")
+    )
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows of the query's recent micro-batches that came behind the watermark and were dropped by its stateful operators (those merged before an operator count once)."""
+    return sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
