@@ -7,14 +7,15 @@ from pyspark.sql import SparkSession
 # Fusion windows in minutes, (look back, look ahead) by bar interval.
 FUSION_WINDOWS = {"1d": (1440, 5760), "1h": (120, 10), "15m": (60, 5), "5m": (30, 5), "1m": (15, 2)}
 DEFAULT_INTERVAL = "1d"
+# The hour at which a daily bar closes, market hours in minutes of the day, articles attached to a bar at most.
 MARKET_CLOSE_HOUR_UTC = 20
 MARKET_OPEN_MINUTE, MARKET_CLOSE_MINUTE = 810, 1200
 MOST_NEWS_PER_BAR = 10
 
 # Themes that make an open-data record financial.
 FINANCIAL_THEMES = [
-    "ACQUISITION", "BUS_MARKET_CLOSE", "BUS_NEW_PRODUCTS", "BUS_STOCK_BUYBACK", "ECON_BANKRUPTCY", "ECON_EARNINGSREPORT", "ECON_INFLATION",
-    "ECON_INTEREST_RATES", "ECON_MONETARY_POLICY", "ECON_STOCKMARKET", "ECON_TRADE", "LEG_FINANCIAL_REGULATION", "MERGER",
+    "ECON_STOCKMARKET", "ECON_EARNINGSREPORT", "ECON_BANKRUPTCY", "ECON_INTEREST_RATES", "ECON_MONETARY_POLICY", "ECON_INFLATION", "ECON_TRADE",
+    "BUS_STOCK_BUYBACK", "BUS_MARKET_CLOSE", "BUS_NEW_PRODUCTS", "MERGER", "ACQUISITION", "LEG_FINANCIAL_REGULATION",
 ]
 
 # Company-name suffixes, in the order in which they are tried.
@@ -33,7 +34,8 @@ LEGAL_FORM_LOOKUP = r"\s*(Inc\.?|Corp\.?|Ltd\.?|Co\.?|LLC|PLC|,?\s*Inc\.?)\s*$"
 #: Spans of two or more capitalised words: the built-in stand-in for a trained organisation tagger.
 ORG_SPAN = r"[A-Z][A-Za-z]+(?: (?:&|[A-Z][A-Za-z.]*))+"
 
-RELEVANCE_THRESHOLD = 30  # hundredths
+# Least relevance in hundredths, least tone of a label, fields of a whole record, sources of open data.
+RELEVANCE_THRESHOLD = 30
 TONE_THRESHOLD = 1.5
 GKG_FIELDS = 27
 OPEN_SOURCES = ["gdelt", "gdelt_historical"]

@@ -77,6 +77,13 @@ def strip_name_suffix(name: Column) -> Column:
     return F.regexp_replace(out, r"^[ .,]+|[ .,]+$", "")
 
 
+def page_of_url(url: Column) -> Column:
+    """What two links to one page have in common: host in lower case without ``www.``, and path without its last slash; no scheme, query or fragment."""
+    rest = F.regexp_replace(F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"[?#].*$", "")
+    host = F.regexp_replace(F.lower(F.regexp_extract(rest, r"^[^/]*", 0)), r"^www\.", "")
+    return F.nullif(F.regexp_replace(F.concat(host, F.regexp_extract(rest, r"/.*$", 0)), "/+$", ""), F.lit(""))
+
+
 # ---- open-data records ----
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import DAY_MS
+from tidemark.functions.expressions import DAY_MS, page_of_url
 from tidemark.operators.sentiment import labelled
 
 
@@ -111,6 +111,11 @@ def key_overlap(news: DataFrame, of: Column) -> DataFrame:
     return per.agg(F.count("*").alias("values"), F.count_if(F.col("n") > 1).alias("shared"), F.round(100.0 * F.count_if(F.col("n") > 1) / F.count("*"), 4).alias("pct"))
 
 
+def url_overlap(news: DataFrame) -> DataFrame:
+    """Pages that articles of both sources link to, out of all that are linked to."""
+    return key_overlap(news.withColumn("_page", page_of_url(F.col("url"))).filter("_page IS NOT NULL"), F.col("_page"))
+
+
 def daily_agreement(news: DataFrame) -> DataFrame:
     """Agreement of both sources' most frequent label per ticker and day; ties go to positive, then neutral."""
     rows = labelled(news).select("ticker", F.floor(F.col("published_ms") / DAY_MS).cast("long").alias("day"), F.when(F.col("source") == "eodhd", "vendor").otherwise("open").alias("side"), F.coalesce("vendor", "open").alias("label")).filter("label IS NOT NULL")

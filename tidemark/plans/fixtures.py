@@ -71,6 +71,7 @@ class Tables:
             F.when(~err & (F.col("k") % 11 != 0), F.struct(share(7).alias("pos"), share(5).alias("neg"), share(3).alias("neu"))).alias("vendor_sentiment"),
             F.when(err, (F.col("k") % 13) / F.lit(2.0) - 3).alias("tone_score"),
             F.concat(F.lit("N|"), F.col("event_id"), F.lit("|"), F.col("ticker")).alias("dedup_key"),
+            F.when(err, F.concat(F.lit("http://n.example/"), "ticker", F.lit("/"), "k")).otherwise(F.concat(F.lit("https://WWW.N.example/"), "ticker", F.lit("/"), "k", F.lit("/?ref="), "event_id")).alias("url"),
         )
 
     @cached_property

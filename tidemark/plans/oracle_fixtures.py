@@ -41,7 +41,8 @@ SELECT e.ticker, e.ms AS published_ms, e.event_id, e.k,
        CASE WHEN e.event_type = 'error' OR e.k % 11 = 0 THEN NULL
             ELSE {'pos': (e.k % 7) / 10.0, 'neg': (e.k % 5) / 10.0, 'neu': (e.k % 3) / 10.0} END AS vendor_sentiment,
        CASE WHEN e.event_type = 'error' THEN (e.k % 13) / 2.0 - 3 END AS tone_score,
-       'N|' || e.event_id || '|' || e.ticker AS dedup_key
+       'N|' || e.event_id || '|' || e.ticker AS dedup_key,
+       CASE WHEN e.event_type = 'error' THEN 'http://n.example/' || e.ticker || '/' || e.k ELSE 'https://WWW.N.example/' || e.ticker || '/' || e.k || '/?ref=' || e.event_id END AS url
 FROM fx_event e
 JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
 JOIN fx_company c ON c.ticker = 'T' || lpad(CAST(e.k % 10 AS VARCHAR), 2, '0')

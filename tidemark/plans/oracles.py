@@ -232,6 +232,11 @@ count(*) FILTER (source <> 'eodhd' AND tone_score IS NOT NULL) AS open_with_tone
 UNION ALL SELECT 'news', (SELECT count(*) FROM fx_news), (SELECT count(*) FROM (SELECT 1 FROM fx_news GROUP BY dedup_key HAVING count(*) > 1))
 UNION ALL SELECT 'fused', (SELECT count(*) FROM fx_price), 0 UNION ALL SELECT 'scores', (SELECT count(*) FROM fx_score), (SELECT count(*) FROM (SELECT 1 FROM fx_score GROUP BY dedup_key HAVING count(*) > 1))"""),
     "audit_null_volume": _sql("SELECT count(*) AS bars, count(*) FILTER (volume IS NULL) AS without_volume, round(100.0 * count(*) FILTER (volume IS NULL) / count(*), 4) AS pct FROM fx_price WHERE \"interval\" = '5m'"),
+    "audit_url_overlap": _sql("SELECT count(*) AS values, count(*) FILTER (n > 1) AS shared, round(100.0 * count(*) FILTER (n > 1) / count(*), 4) AS pct FROM (SELECT ticker || ':' || k AS u, count(DISTINCT source) AS n FROM fx_news GROUP BY 1)"),
+    "universe_limited": _sql("""(SELECT ticker, company_name, sector FROM merged WHERE is_active ORDER BY ticker LIMIT 40)
+UNION ALL SELECT w.ticker, m.company_name, m.sector FROM (VALUES ('C12'), ('S3'), ('NONE')) w(ticker) LEFT JOIN merged m USING (ticker)""", *_UNI),
+    "sent_own_model": _sql("""SELECT dedup_key || '|by-length' AS dedup_key, ticker, dedup_key AS source_dedup_key, 'by-length' AS model, ['positive', 'negative', 'neutral'][n % 3 + 1] AS label, (n % 50) * 2 AS confidence
+FROM (SELECT *, length(left(title, 512)) AS n FROM fx_news WHERE title <> '') WHERE n % 7 <> 0"""),
     "audit_key_overlap": _sql("SELECT count(*) AS values, count(*) FILTER (n > 1) AS shared, round(100.0 * count(*) FILTER (n > 1) / count(*), 4) AS pct FROM (SELECT ticker || ':' || k AS u, count(DISTINCT source) AS n FROM fx_news GROUP BY 1)"),
     "audit_daily_agreement": _sql(f"""SELECT ticker, count(*) AS days, count(*) FILTER (v = o) AS agreed FROM (SELECT ticker, day, max(CASE WHEN side = 'vendor' THEN m END) AS v, max(CASE WHEN side = 'open' THEN m END) AS o FROM (
 SELECT ticker, day, side, {_MODAL} AS m FROM (SELECT ticker, published_ms // 86400000 AS day, CASE WHEN source = 'eodhd' THEN 'vendor' ELSE 'open' END AS side, count(*) FILTER (coalesce(vendor, open) = 'positive') AS p, count(*) FILTER (coalesce(vendor, open) = 'neutral') AS u, count(*) FILTER (coalesce(vendor, open) = 'negative') AS n

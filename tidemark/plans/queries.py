@@ -196,6 +196,13 @@ def universe_seed(t: Tables) -> DataFrame:
     return universe.merge(universe.seed(t.spark).withColumn("sector", F.lit(None).cast("string")), _universe(t)[1]).groupBy("status").agg(F.count("*").alias("n"))
 
 
+@query
+def universe_limited(t: Tables) -> DataFrame:
+    """The first tickers in order, as for a limited plan, and a list of one's own in place of them."""
+    m = _merged(t)
+    return universe.active(m, most=40).unionAll(universe.active(m, only=" c12, S3,c12,,none "))
+
+
 @query
 def universe_active(t: Tables) -> DataFrame:
     return universe.active(_merged(t))
@@ -434,6 +441,17 @@ def sent_enriched_flat(t: Tables) -> DataFrame:
     )
 
 
+def _by_length() -> Callable[[list[str]], list]:
+    """A scorer as a user would bring it: it takes texts in batches and gives no score to some."""
+    return lambda texts: [None if len(x) % 7 == 0 else (("POS", "negative-ish", "mixed")[len(x) % 3], len(x) % 50 / 50) for x in texts]
+
+
+@query
+def sent_own_model(t: Tables) -> DataFrame:
+    s = sentiment.score_with(t.news, "by-length", _by_length)
+    return s.select("dedup_key", "ticker", "source_dedup_key", "model", "label", F.round(F.col("confidence") * 100).cast("long").alias("confidence"))
+
+
 # ---- reads ----
 
 
@@ -493,6 +511,7 @@ _audit("score_range", lambda t: audit.score_range(t.score))
 _audit("duplicates", lambda t: audit.duplicate_surfaces(t.price, t.news, _fused(t), t.score))
 _audit("null_volume", lambda t: audit.null_volume_share(t.price))
 _audit("key_overlap", lambda t: audit.key_overlap(t.news, F.concat_ws(":", "ticker", F.col("k"))))
+_audit("url_overlap", lambda t: audit.url_overlap(t.news))
 _audit("daily_agreement", lambda t: audit.daily_agreement(t.news))
 _audit("open_concentration", lambda t: audit.open_concentration(_fused(t), t.company))
 
