@@ -35,7 +35,7 @@ CELL = 2048
 STEP = 200_000
 #: Min-hash bands and hashes to a band: a pair of similarity 0.8 meets in none with a chance of (1 - 0.8 ** 4) ** 24, 3 in a million.
 BANDS, ROWS = 24, 4
-#: Members of a band that are all compared with each other, and those that all others of a larger band are compared with.
+#: Members of a group that are all compared with each other, and those that all others of a larger band are compared with first.
 SMALL_BAND, HUBS = 9, 2
 
 
@@ -255,12 +255,51 @@ def band_hashes(shingles: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(row.tobytes(), no) for no, row in enumerate(least)], np.uint64)
 
 
+def several(groups: DataFrame, joined: DataFrame) -> DataFrame:
+    """Groups (group, id) whose members are not all joined yet; of groups of the same members one."""
+    named = groups.join(joined, groups["id"] == joined["node"], "left").select("group", "id", F.coalesce("component", "id").alias("c"))
+    kept = named.groupBy("group").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sign")).filter("lo < hi")
+    one = kept.groupBy("n", "sign").agg(F.min("group").alias("group")).select("group")
+    return stored(groups.join(one, "group"), "several")
+
+
+def parted(groups: DataFrame, arrays: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) to compare, and smaller groups, that together hold all that a group's pairs of similarity ``least`` need.
+
+    H is what more than half of a group's sets have. A set x differs from it by what it lacks, r of its own, and what it has besides, a of its own; its
+    weight is r + least * a. Of two sets that share none of their differences the similarity is (|H| - r - r') / (|H| + a + a'), which reaches ``least`` if
+    their weights together are at most (1 - least) * |H|. Then each of them reaches it with the member of least weight too, so comparing all with
+    that one joins them. Others share differences, (their weights - (1 - least) * |H|) / (1 + least) at least, so two of them meet in one of their
+    rarest differences (a prefix filter), and those who share it are a smaller group. No difference is shared by more than half of a group, so there are as many
+    rounds at most as halvings.
+    """
+    sized = groups.groupBy("group").agg(F.count("*").alias("n"))
+    whole = groups.join(arrays, "id").join(sized, "group")
+    counts = whole.select("group", "n", F.explode("shingles").alias("e")).groupBy("group", "n", "e").agg(F.count("*").alias("c"))
+    counts = stored(counts.filter("c > 1"), "counts")  # those of one set are told by their absence
+    common = counts.filter(F.col("c") * 2 > F.col("n")).groupBy("group").agg(F.collect_list("e").alias("h"))  # no longer than twice a set
+    none = F.array().cast("array<bigint>")
+    differ = whole.join(common, "group", "left").select("group", "id", "n", F.size(F.coalesce("h", none)).alias("size"), F.array_except(F.coalesce("h", none), "shingles").alias("r"), F.array_except("shingles", F.coalesce("h", none)).alias("a"))
+    differ = stored(differ.withColumn("w", F.size("r") + least * F.size("a")), "differ")
+    lightest = differ.groupBy("group").agg(F.min(F.struct("w", "id")).alias("m")).select("group", F.col("m.w").alias("light"), F.col("m.id").alias("hub"))
+    weighed = differ.join(lightest, "group")
+    pairs = stored(weighed.filter("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "pairs")
+    shared = F.greatest(F.ceil((F.col("w") + F.col("light") - (1 - least) * F.col("size")) / (1 + least) - 1e-9), F.lit(1))
+    rows = weighed.select("group", "id", "n", (F.size("r") + F.size("a") - shared + 1).alias("prefix"), F.explode(F.concat("r", "a")).alias("e"))
+    # how many of the group share the difference: those who have it, or those who lack it
+    often = rows.join(counts.drop("n"), ["group", "e"], "left").withColumn("f", F.when(F.col("c") * 2 > F.col("n"), F.col("n") - F.col("c")).otherwise(F.coalesce("c", F.lit(1))))
+    rarest = often.withColumn("k", F.row_number().over(Window.partitionBy("group", "id").orderBy("f", "e"))).filter("k <= prefix AND f > 1")
+    smaller = rarest.select(F.xxhash64("group", "e").alias("group"), "id")
+    return pairs, stored(smaller, "smaller")
+
+
 def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> DataFrame:
     """(doc_id, component_id): classes joined by pairs whose shingle sets have a Jaccard similarity of ``least`` or more.
 
     Texts of equal sets are one class at once. Others meet in bands of min-hashes, and each pair that meets is compared
-    by its whole sets. In a band of more than ``SMALL_BAND`` classes all are compared with a few of it, drawn anew in each band, so
-    that large groups cost a fixed number of pairs a member. Rows with a null id have no class.
+    by its whole sets. In a band of more than ``SMALL_BAND`` classes all are compared with a few of it first, drawn anew in each band, which
+    joins near copies at a fixed number of pairs a member; bands that still hold several classes are parted by ``parted`` until every pair that
+    may reach ``least`` has been compared or joined by way of another. Rows with a null id have no class.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -286,6 +325,18 @@ def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> Dat
                 keep.append(both >= least * (n + m - both))
             yield b.loc[keep, ["a", "b"]]
 
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"id": b["doc_id"], "shingles": [shingle_set(t, size).view(np.int64) for t in b["text"]]})
+
+    def compared(met: DataFrame) -> DataFrame:
+        """Pairs of (a, b) that reach ``least``. Sets are made anew for the documents that meet another, which is far less to move than all sets."""
+        asked = met.select(F.col("a").alias("id")).unionAll(met.select("b")).distinct()
+        whole = stored(texts.join(asked, texts["doc_id"] == asked["id"], "left_semi").mapInPandas(sets, f"id {kind}, shingles binary").distinct(), "sets")
+        left = met.join(whole.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
+        pairs = left.join(whole.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+        return stored(pairs.mapInPandas(compare, f"a {kind}, b {kind}").distinct(), "links")
+
     texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
     own = stored(texts.mapInPandas(signed, f"doc_id {kind}, same string, bands array<long>"), "signed")
     named = stored(own.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
@@ -297,11 +348,25 @@ def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> Dat
     hubs = stored(sized.select("band", F.col("rep").alias("hub")), "hubs")
     met = some.join(hubs, "band").filter("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     met = stored(met, "met")
-    # Sets are made anew for the documents that meet another, which is far less to move than all sets.
-    asked = met.select(F.col("a").alias("id")).unionAll(met.select("b")).distinct()
-    whole = stored(texts.join(asked, texts["doc_id"] == asked["id"], "left_semi").mapInPandas(sets, f"id {kind}, shingles binary").distinct(), "sets")
-    left = met.join(whole.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
-    pairs = left.join(whole.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-    found = components(pairs.mapInPandas(compare, f"a {kind}, b {kind}").distinct(), "a", "b")
+    links = compared(met)
+    # Bands of more members than were drawn, in which the links so far leave several classes.
+    large = some.join(sized.filter(F.col("n") > SMALL_BAND).select("band").distinct(), "band").select(F.col("band").alias("group"), F.col("rep").alias("id"))
+    joined = components(links, "a", "b")
+    groups = several(large, joined)
+    if groups.isEmpty():
+        found = joined
+    else:
+        ids = groups.select("id").distinct()
+        arrays = stored(texts.join(ids, texts["doc_id"] == ids["id"], "left_semi").mapInPandas(listed, f"id {kind}, shingles array<long>").dropDuplicates(["id"]), "arrays")
+        while not groups.isEmpty():
+            more, smaller = parted(groups, arrays, least)
+            smaller = several(smaller, joined)
+            small = smaller.join(smaller.groupBy("group").agg(F.count("*").alias("n")).filter(F.col("n") <= SMALL_BAND).select("group"), "group")
+            twice = small.withColumnRenamed("id", "other")
+            few = small.join(twice, "group").filter("id < other").select(F.col("id").alias("a"), F.col("other").alias("b"))
+            fresh = compared(stored(more.unionAll(few).distinct(), "met"))
+            joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(fresh), "a", "b")
+            groups = several(smaller.join(small.select("group").distinct(), "group", "left_anti"), joined)
+        found = joined
     classes = named.join(found, named["rep"] == found["node"], "left").select("same", F.coalesce("component", "rep").alias("component_id"))
     return own.select("doc_id", "same").join(classes, "same").select("doc_id", "component_id")
