@@ -4,7 +4,7 @@ from tidemark.llm.queries import ORACLE, QUERIES
 
 
 def test_names():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
