@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import forget, stored
 from tidemark.llm.graph import components
 
 SEED = 42
@@ -256,11 +256,11 @@ def band_hashes(shingles: np.ndarray) -> np.ndarray:
 
 
 def several(groups: DataFrame, joined: DataFrame) -> DataFrame:
-    """Groups (group, id) whose members are not all joined yet; of groups of the same members one."""
-    named = groups.join(joined, groups["id"] == joined["node"], "left").select("group", "id", F.coalesce("component", "id").alias("c"))
+    """Groups (group, id, c: its class so far) whose members are not all joined yet; of groups of the same members one."""
+    named = groups.select("group", "id").join(joined, groups["id"] == joined["node"], "left").select("group", "id", F.coalesce("component", "id").alias("c"))
     kept = named.groupBy("group").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sign")).filter("lo < hi")
     one = kept.groupBy("n", "sign").agg(F.min("group").alias("group")).select("group")
-    return stored(groups.join(one, "group"), "several")
+    return stored(named.join(one, "group"), "several")
 
 
 def parted(groups: DataFrame, arrays: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
@@ -289,8 +289,9 @@ def parted(groups: DataFrame, arrays: DataFrame, least: float) -> tuple[DataFram
     # how many of the group share the difference: those who have it, or those who lack it
     often = rows.join(counts.drop("n"), ["group", "e"], "left").withColumn("f", F.when(F.col("c") * 2 > F.col("n"), F.col("n") - F.col("c")).otherwise(F.coalesce("c", F.lit(1))))
     rarest = often.withColumn("k", F.row_number().over(Window.partitionBy("group", "id").orderBy("f", "e"))).filter("k <= prefix AND f > 1")
-    smaller = rarest.select(F.xxhash64("group", "e").alias("group"), "id")
-    return pairs, stored(smaller, "smaller")
+    smaller = stored(rarest.select(F.xxhash64("group", "e").alias("group"), "id"), "smaller")
+    forget(counts, differ)
+    return pairs, smaller
 
 
 def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> DataFrame:
@@ -335,7 +336,9 @@ def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> Dat
         whole = stored(texts.join(asked, texts["doc_id"] == asked["id"], "left_semi").mapInPandas(sets, f"id {kind}, shingles binary").distinct(), "sets")
         left = met.join(whole.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
         pairs = left.join(whole.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-        return stored(pairs.mapInPandas(compare, f"a {kind}, b {kind}").distinct(), "links")
+        out = stored(pairs.mapInPandas(compare, f"a {kind}, b {kind}").distinct(), "links")
+        forget(whole)
+        return out
 
     texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
     own = stored(texts.mapInPandas(signed, f"doc_id {kind}, same string, bands array<long>"), "signed")
@@ -349,6 +352,7 @@ def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> Dat
     met = some.join(hubs, "band").filter("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     met = stored(met, "met")
     links = compared(met)
+    forget(met)
     # Bands of more members than were drawn, in which the links so far leave several classes.
     large = some.join(sized.filter(F.col("n") > SMALL_BAND).select("band").distinct(), "band").select(F.col("band").alias("group"), F.col("rep").alias("id"))
     joined = components(links, "a", "b")
@@ -359,14 +363,17 @@ def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> Dat
         ids = groups.select("id").distinct()
         arrays = stored(texts.join(ids, texts["doc_id"] == ids["id"], "left_semi").mapInPandas(listed, f"id {kind}, shingles array<long>").dropDuplicates(["id"]), "arrays")
         while not groups.isEmpty():
-            more, smaller = parted(groups, arrays, least)
-            smaller = several(smaller, joined)
+            more, found = parted(groups, arrays, least)
+            smaller = several(found, joined)
+            forget(groups, found)
             small = smaller.join(smaller.groupBy("group").agg(F.count("*").alias("n")).filter(F.col("n") <= SMALL_BAND).select("group"), "group")
-            twice = small.withColumnRenamed("id", "other")
-            few = small.join(twice, "group").filter("id < other").select(F.col("id").alias("a"), F.col("other").alias("b"))
-            fresh = compared(stored(more.unionAll(few).distinct(), "met"))
+            twice = small.select("group", F.col("id").alias("other"), F.col("c").alias("d"))
+            few = small.join(twice, "group").filter("id < other AND c <> d").select(F.col("id").alias("a"), F.col("other").alias("b"))
+            asked = stored(more.unionAll(few).distinct(), "met")
+            fresh = compared(asked)
             joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(fresh), "a", "b")
             groups = several(smaller.join(small.select("group").distinct(), "group", "left_anti"), joined)
+            forget(smaller, more, asked, fresh)
         found = joined
     classes = named.join(found, named["rep"] == found["node"], "left").select("same", F.coalesce("component", "rep").alias("component_id"))
     return own.select("doc_id", "same").join(classes, "same").select("doc_id", "component_id")
