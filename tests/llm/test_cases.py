@@ -1,6 +1,7 @@
 """Every operator over odd rows and over none."""
 
 import collections
+import time
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from tidemark.llm.lm import lm_scores
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.pieces import encoded
 from tidemark.llm.quality import kept_rows, quality
-from tidemark.llm.substrings import passages
+from tidemark.llm.substrings import passages, stretches
 from tidemark.llm.toxicity import toxicity
 
 
@@ -127,6 +128,46 @@ def test_passages_equal_all_pairs_brute_force_among_pieces(spark):
     exact = [len(set(w) & got.get(i, set())) / len(w) for i, (w, same) in want.items() if same]
     fuzzy = [len(set(w) & got.get(i, set())) / len(w) for i, (w, same) in want.items() if not same]
     assert len(exact) > 20 and min(exact) == 1
-    print([round(f, 2) for f in fuzzy])
     assert len(fuzzy) > 20 and sum(fuzzy) / len(fuzzy) > 0.97
     assert not set(got) - set(want)
+
+
+def _pairs_among_pieces(rng, groups, pairs):
+    """Pairs of documents that share a passage, ``pieces`` others that hold ``piece`` words of it, half of these between the two."""
+    rows, want, base = [], {}, 0
+    for name, pieces, piece, length, changed in groups:
+        for _ in range(pairs):
+            shared = _own(rng, length)
+            fuzzy = [w if rng.random() >= changed else _own(rng, 1)[0] for w in shared]
+            for i in range(pieces):
+                at = int(rng.integers(0, length - piece + 1))
+                rows.append((base + 2 * i, " ".join(_own(rng, 30) + shared[at : at + piece] + _own(rng, 30))))
+            first, later = base + 2 * (pieces // 2) + 1, base + 2 * pieces + 3
+            rows += [(first, " ".join(_own(rng, 30) + shared + _own(rng, 20))), (later, " ".join(_own(rng, 30) + fuzzy + _own(rng, 20)))]
+            want.setdefault(name, []).append((later, range(30, 30 + length)))
+            base = later + 1
+    return rows, want
+
+
+def test_passages_however_many_documents_hold_pieces_of_them(spark):
+    groups = [(("changed", k), k, 14, 120, 0.05) for k in (0, 6, 30, 120)] + [(("more changed", k), k, 14, 120, 0.1) for k in (0, 120)]
+    groups += [(("long pieces", n), 120, n, 120, 0.05) for n in (25, 35)] + [(("exact", n), 120, 14, n, 0) for n in (40, 45, 50)]
+    rows, want = _pairs_among_pieces(np.random.default_rng(8), groups, 10)
+    got = {}
+    for r in passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).update(range(r.first_word, r.first_word + r.words))
+    found = {name: float(np.mean([len(set(w) & got.get(i, set())) / len(w) for i, w in pairs])) for name, pairs in want.items()}
+    least = {"exact": 1, "changed": 0.97, "long pieces": 0.97, "more changed": 0.93}
+    assert all(f >= least[name[0]] for name, f in found.items()), found
+
+
+def test_a_long_chain_of_short_runs_is_split_in_linear_time():
+    rng, x, y = np.random.default_rng(9), [], []
+    while len(x) < 100_000:
+        same = _own(rng, 6)
+        x += same + _own(rng, 4)
+        y += same + _own(rng, 4)
+    start = time.process_time()
+    got = stretches(x, y, [(0, len(x), 0, len(y))], 0.8)
+    assert time.process_time() - start < 5
+    assert len(got) > 9_000 and all(e - s == 6 and v == 1 for s, e, v in got)

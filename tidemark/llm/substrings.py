@@ -5,8 +5,9 @@
    seed goes its run: the hash of the ``MIN_WORDS`` words that start there.
 2. Where an earlier document holds the run too, the place is tied to the run's first holder. That document holds a passage
    itself, so any ``WINDOW`` + ``MIN_WORDS`` - 1 = 51 equal words are found however common they are, and copies cost each
-   document one pair. Every other place is tied to the first holder of its seed and to the ``BEFORE`` documents that hold
-   it next before its own, so documents that hold short pieces of a passage don't hide those that hold more of it.
+   document one pair. Every other place is tied to the first holder of its seed and to the first holders of its pairs: the seed
+   together with the first seed that starts ``REACH`` words or more behind it, whatever lies between. A document that holds
+   a piece of a passage too short for both seeds of a pair can't hide one that holds both, however many such pieces there are.
 3. For each document and earlier document, runs of seeds on one diagonal become fragments, and a Fenwick tree over the
    earlier document's places finds the best chain of fragments in order, less a gap cost.
 4. Chains are aligned word by word: both ends are extended over equal words and single changes, and longest common
@@ -16,8 +17,7 @@
    came from; passages of ``MIN_WORDS`` words or more are returned.
 
 The first document keeps its passage; later ones are listed. What is tied by seed is a partial aggregate and joins that
-adaptive execution splits; a seed of more than ``HOT`` holders is cut into parts by a hash of the document before its
-holders are put in order. Each text goes to Python twice: for its seeds, and for all of its stretches at once.
+adaptive execution splits; no order of a seed's holders is needed, so results don't turn on how many there are. Each text goes to Python twice: for its seeds, and for all of its stretches at once.
 
 Defined cases: null or empty texts have no seed; rows with a null id are left out; repeated rows of one id count as
 one document, of which the longest text is aligned; passages repeated inside one document only are not reported; words
@@ -26,6 +26,7 @@ are compared with A-Z in lower case; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,14 +39,17 @@ from tidemark.llm.common import forget, stored
 
 SHINGLE, WINDOW = 5, 12
 MIN_WORDS = 40
-#: Earlier holders of a seed next before a document's own that it is tied to, and holders of a seed that are put in order together.
-BEFORE, HOT = 2, 1_000
+#: Least words from the first to the second seed of a pair; the longest pair spans MIN_WORDS words or more.
+REACH = (12, 18, 24, MIN_WORDS - SHINGLE)
+PAIRS = [f"pair{n}" for n in range(len(REACH))]
 #: Score of a fragment's first seed, and cost of each word between two fragments, on either side.
 SEED_SCORE, GAP = 5.0, 0.1
-#: Words on both sides of a chain that its alignment may reach.
-MARGIN = 32
+#: Words between anchors of one fragment, and words on both sides of a chain that its alignment may reach.
+MARGIN, AROUND = 32, 64
 #: An extension gains 1 for an equal word, loses CHANGE for a changed one and ends when it has lost DROP.
 CHANGE, DROP = 2, 12
+#: Words of a gap between equal runs beyond which it is aligned only if the chain may still be similar enough.
+WIDE = 256
 #: Words from the first to the last shingle of a run.
 LONG = MIN_WORDS - SHINGLE
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -76,11 +80,14 @@ def shingles(text: str | None) -> np.ndarray:
     return mixed(k)
 
 
-def keys(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Seeds of a text, the hash of the run at each (0 where fewer words are left), and the words they start at."""
+def keys(text: str | None) -> tuple[np.ndarray, ...]:
+    """Seeds of a text, the words they start at, the hash of the run at each (0 where fewer words are left), and its pairs.
+
+    A pair is 24 bits of the second seed's hash and 8 of its distance in words, or 0 where no seed starts that far behind.
+    """
     k = shingles(text)
     if len(k) == 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        return np.zeros(0, np.uint64), *[np.zeros(0, np.int32)] * (2 + len(REACH))
     at = winnowed(k, WINDOW)
     whole = at[at + LONG < len(k)]
     h = k[whole]
@@ -88,28 +95,39 @@ def keys(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         h = (h ^ (h >> np.uint64(31))) * M1 + k[whole + j]
     run = np.zeros(len(at), np.int32)
     run[: len(whole)] = (mixed(h) | np.uint64(1)).astype(np.uint32).view(np.int32)
-    return k[at], run, at.astype(np.int32)
+    pairs = []
+    for least in REACH:
+        second = np.searchsorted(at, at + least)
+        has = second < len(at)
+        pair = np.zeros(len(at), np.uint32)
+        to = second[has]
+        pair[has] = ((k[at[to]] >> np.uint64(8)).astype(np.uint32) | np.uint32(1)) << np.uint32(8) | (at[to] - at[has]).astype(np.uint32)
+        pairs.append(pair.view(np.int32))
+    return k[at], at.astype(np.int32), run, *pairs
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, seed, run, pos) of all documents; a run is known by its seed and its hash."""
+    """(doc_id, seed, pos, run, pairs) of all documents; a run or pair is known by its seed and its hash."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["pos", "run", *PAIRS]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for lo in range(0, len(b), 1000):
                 part = b.iloc[lo : lo + 1000]
                 got = [keys(t) for t in part["text"]]
-                seed, runs, pos = (np.concatenate(c) for c in zip(*got, strict=True))
-                yield pd.DataFrame({"doc_id": np.repeat(part["doc_id"].to_numpy(), [len(g[0]) for g in got]), "seed": seed.view(np.int64), "run": runs, "pos": pos})
+                seed, *rest = (np.concatenate(c) for c in zip(*got, strict=True))
+                ids = np.repeat(part["doc_id"].to_numpy(), [len(g[0]) for g in got])
+                yield pd.DataFrame({"doc_id": ids, "seed": seed.view(np.int64)} | dict(zip(names, rest, strict=True)))
 
-    return docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, seed long, run int, pos int")
+    schema = ", ".join([f"doc_id {kind}", "seed long", *[f"{n} int" for n in names]])
+    return docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInPandas(run, schema)
 
 
-def ties(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, ref, pos, rpos, span): places of documents that an earlier document ``ref`` holds too, and the table behind them.
+def ties(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(doc_id, ref, pos, rpos, span): places of documents that an earlier document ``ref`` holds too, and the tables behind them.
 
-    ``span`` is the words from the first to the last shingle of what is held: ``LONG`` for a run, 0 for a seed.
+    ``span`` is the words from the first to the last shingle of what is held: ``LONG`` for a run, 0 for a seed. A pair gives the places of both its seeds.
     """
 
     def holders(rows: DataFrame, name: str, *key: str) -> DataFrame:
@@ -129,13 +147,15 @@ def ties(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     def tie(rows: DataFrame, name: str, span: int) -> DataFrame:
         return rows.filter(F.col(f"{name}_ref") < F.col("doc_id")).select("doc_id", F.col(f"{name}_ref").alias("ref"), "pos", F.col(f"{name}_pos").alias("rpos"), F.lit(span).alias("span"))
 
-    part = F.when(F.col("seed_n") > HOT, F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("seed_n") / HOT))).otherwise(0).cast("int").alias("part")
-    held = known.filter("seed_n > 2").groupBy("seed", part, "doc_id").agg(F.min("pos").alias("rpos"), F.collect_list(F.when(~F.col("tied"), F.col("pos"))).alias("at"), F.first("seed_ref").alias("first"))
-    order = Window.partitionBy("seed", "part").orderBy("doc_id")
-    before = F.array(*[F.lag(F.struct(F.col("doc_id").alias("b"), F.col("rpos").alias("p")), k).over(order) for k in range(1, BEFORE + 1)])
-    prev = held.withColumn("before", before).filter(F.size("at") > 0).select("doc_id", "first", "at", F.explode("before").alias("x")).filter("x IS NOT NULL AND x.b <> first")
-    by_before = prev.select("doc_id", F.col("x.b").alias("ref"), F.explode("at").alias("pos"), F.col("x.p").alias("rpos"), F.lit(0).alias("span"))
-    return tie(known.filter("tied"), "run", LONG).unionAll(tie(known.filter("NOT tied"), "seed", 0)).unionAll(by_before), known
+    pair = F.explode(F.array(*[F.struct(F.lit(n).alias("no"), F.col(c).alias("key")) for n, c in enumerate(PAIRS)])).alias("p")
+    long = known.filter("seed_n > 2").select("doc_id", "seed", "pos", "tied", "seed_ref", pair).filter("p.key <> 0")
+    long = long.select("doc_id", "seed", "pos", "tied", "seed_ref", "p.no", F.expr("shiftrightunsigned(p.key, 8)").alias("pair"), F.expr("p.key & 255").alias("far"))
+    own = long.groupBy("seed", "no", "pair").agg(F.min(F.struct("doc_id", "pos", "far")).alias("f"), F.max("doc_id").alias("last"))
+    pairs = stored(own.filter("f.doc_id < last").select("seed", "no", "pair", "f"), "pairs")
+    met = long.filter("NOT tied").join(pairs, ["seed", "no", "pair"]).filter("f.doc_id < doc_id AND f.doc_id <> seed_ref")
+    ends = F.explode(F.array(F.struct("pos", F.col("f.pos").alias("rpos")), F.struct((F.col("pos") + F.col("far")).alias("pos"), (F.col("f.pos") + F.col("f.far")).alias("rpos")))).alias("x")
+    by_pair = met.select("doc_id", F.col("f.doc_id").alias("ref"), ends).select("doc_id", "ref", "x.pos", "x.rpos", F.lit(0).alias("span"))
+    return tie(known.filter("tied"), "run", LONG).unionAll(tie(known.filter("NOT tied"), "seed", 0)).unionAll(by_pair), [known, pairs]
 
 
 # ---- chains ----
@@ -320,29 +340,6 @@ def extend(x: list, y: list, at: int, to: int, step: int) -> int:
     return best
 
 
-def common_words(x: list, y: list, runs: list[tuple[int, int, int, int]]) -> int:
-    """Equal words of x and y in order: those of the runs, and longest common subsequences between them."""
-    total = px = py = 0
-    for a, b, c, d in runs:
-        skip = max(0, px - a, py - c)
-        if a + skip < b:
-            total += common_length(x[px : a + skip], y[py : c + skip]) + b - a - skip
-            px, py = b, d
-    return total + common_length(x[px:], y[py:])
-
-
-def align(x: list, y: list, runs: list[tuple[int, int, int, int]]) -> tuple[int, int, float]:
-    """A chain of equal runs, extended: its ends in x, and the similarity."""
-    s, rs, e, re = runs[0][0], runs[0][2], runs[-1][1], runs[-1][3]
-    left = extend(x, y, s - 1, rs - 1, -1)
-    right = extend(x, y, e, re, 1)
-    s, rs, e, re = s - left, rs - left, e + right, re + right
-    if x[s:e] == y[rs:re]:
-        return s, e, 1.0
-    same = common_words(x[s:e], y[rs:re], [(a - s, b - s, c - rs, d - rs) for a, b, c, d in runs])
-    return s, e, same / max(e - s, re - rs, 1)
-
-
 def equal_runs(x: list, y: list, parts: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
     """Runs of a shingle or more equal words on the diagonals of a chain's fragments, in order."""
     out = []
@@ -356,21 +353,93 @@ def equal_runs(x: list, y: list, parts: list[tuple[int, int, int, int]]) -> list
     return out
 
 
+class Chain:
+    """Equal runs of a chain, cut where they overlap, and the equal words of any part of it in constant time.
+
+    Words between two runs count by their longest common subsequence; that of a gap beyond ``WIDE`` words is found only
+    once it can matter.
+    """
+
+    def __init__(self, x: list, y: list, runs: list[tuple[int, int, int, int]]) -> None:
+        self.x, self.y, self.runs = x, y, []
+        for a, b, c, d in runs:
+            skip = max(0, self.runs[-1][1] - a, self.runs[-1][3] - c) if self.runs else 0
+            if a + skip < b:
+                self.runs.append((a + skip, b, c + skip, d))
+        self.between = [(r[0] - q[1], r[2] - q[3]) for q, r in zip(self.runs, self.runs[1:], strict=False)]
+        self.width = [max(g) for g in self.between]
+        self.wide = [k for k, w in enumerate(self.width) if w > WIDE]
+        self.met: dict[int, int] = {}
+        same = [0 if w > WIDE else self._gap(k) for k, w in enumerate(self.width)] + [0]
+        self.upto = np.concatenate([[0], np.cumsum([b - a + s for (a, b, _, _), s in zip(self.runs, same, strict=True)])]).tolist()
+
+    def _gap(self, k: int) -> int:
+        q, r = self.runs[k], self.runs[k + 1]
+        return common_length(self.x[q[1] : r[0]], self.y[q[3] : r[2]]) if min(self.between[k]) else 0
+
+    def common(self, i: int, j: int, enough: float) -> int:
+        """Equal words from run i to run j, or less than ``enough`` if they can't be as many."""
+        first, last = self.runs[i], self.runs[j]
+        # the words of gap j are in the sum up to run j + 1, so run j is added by itself
+        total = self.upto[j] - self.upto[i] + last[1] - last[0]
+        wide = self.wide[bisect_left(self.wide, i) : bisect_left(self.wide, j)]
+        if total + sum(min(self.between[k]) for k in wide) < enough:
+            return total
+        for k in wide:
+            if k not in self.met:
+                self.met[k] = self._gap(k)
+            total += self.met[k]
+        return total
+
+    def extended(self, i: int, j: int, least: float) -> tuple[int, int, float] | None:
+        """Ends in x and similarity from run i to run j, extended where it stays similar enough; None if it isn't."""
+        (s, _, rs, _), (_, e, _, re) = self.runs[i], self.runs[j]
+        words = max(e - s, re - rs)
+        same = self.common(i, j, least * words)
+        if same < least * words:
+            return None
+        left = extend(self.x, self.y, s - 1, rs - 1, -1)
+        right = extend(self.x, self.y, e, re, 1)
+        more = sum(a == b for a, b in zip(self.x[s - left : s], self.y[rs - left : rs], strict=True)) + sum(a == b for a, b in zip(self.x[e : e + right], self.y[re : re + right], strict=True))
+        if same + more >= least * (words + left + right):
+            return s - left, e + right, (same + more) / (words + left + right)
+        return s, e, same / words
+
+    def widest(self) -> tuple[list[int], list[int], int]:
+        """Gaps as a tree, each wider than those below it on both sides: left and right gap below each, and the top."""
+        left, right, stack = [-1] * len(self.width), [-1] * len(self.width), []
+        for k, w in enumerate(self.width):
+            last = -1
+            while stack and self.width[stack[-1]] < w:
+                last = stack.pop()
+            left[k] = last
+            if stack:
+                right[stack[-1]] = k
+            stack.append(k)
+        return left, right, stack[0] if stack else -1
+
+
+def align(x: list, y: list, runs: list[tuple[int, int, int, int]]) -> tuple[int, int, float]:
+    """A chain of equal runs, extended: its ends in x, and the similarity."""
+    chain = Chain(x, y, runs)
+    return chain.extended(0, len(chain.runs) - 1, 0)
+
+
 def stretches(x: list, y: list, parts: list[tuple[int, int, int, int]], least: float) -> list[tuple[int, int, float]]:
-    """Aligned stretches of a chain: the whole, or what is left when it is split at its widest gaps until similar enough."""
-    runs, out = equal_runs(x, y, parts), []
-    gap = [max(b[0] - a[1], b[2] - a[3]) for a, b in zip(runs, runs[1:], strict=False)]
-    todo = [(0, len(runs) - 1)] if runs else []
+    """Aligned stretches of a chain: the whole, or what is left when it is split at its widest gaps until similar enough.
+
+    The words between runs are aligned once and each part is judged by sums, so a chain of n runs takes n steps.
+    """
+    chain, out = Chain(x, y, equal_runs(x, y, parts)), []
+    left, right, top = chain.widest()
+    todo = [(0, len(chain.runs) - 1, top)] if chain.runs else []
     while todo:
-        i, j = todo.pop()
-        got = align(x, y, runs[i : j + 1])
-        if got[2] >= least:
+        i, j, k = todo.pop()
+        got = chain.extended(i, j, least)
+        if got is not None:
             out.append(got)
-        elif i == j:
-            out.append((runs[i][0], runs[i][1], 1.0))
         else:
-            k = max(range(i, j), key=gap.__getitem__)
-            todo += [(i, k), (k + 1, j)]
+            todo += [(i, k, left[k]), (k + 1, j, right[k])]
     return out
 
 
@@ -411,11 +480,11 @@ def passages(docs: DataFrame, least: float = 0.8, min_words: int = MIN_WORDS) ->
     ``ref_doc_id`` and ``similarity`` are those of the longest aligned stretch in the passage.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    anchors, known = ties(docs)
-    low = lambda c: F.greatest(F.col(c) - MARGIN, F.lit(0))
-    spans = chained(anchors, kind).withColumns({"lo": low("s"), "hi": F.col("e") + MARGIN, "rlo": low("rs"), "rhi": F.col("re") + MARGIN})
+    anchors, behind = ties(docs)
+    low = lambda c: F.greatest(F.col(c) - AROUND, F.lit(0))
+    spans = chained(anchors, kind).withColumns({"lo": low("s"), "hi": F.col("e") + AROUND, "rlo": low("rs"), "rhi": F.col("re") + AROUND})
     spans = stored(spans, "chains")
-    forget(known)
+    forget(*behind)
     asked = spans.select(F.col("doc_id").alias("id"), F.col("lo").alias("first"), F.col("hi").alias("end")).unionAll(spans.select("ref", "rlo", "rhi"))
     parts = stored(_cut(asked, docs, kind), "parts")  # as above: many copies share a stretch
     mine = parts.select(F.col("id").alias("doc_id"), F.col("first").alias("lo"), F.col("end").alias("hi"), F.col("part").alias("x"))
