@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -81,13 +82,10 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def keys(text: str | None) -> tuple[np.ndarray, ...]:
-    """Seeds of a text, the words they start at, the hash of the run at each (0 where fewer words are left), and its pairs.
-
-    A pair is 24 bits of the second seed's hash and 8 of its distance in words, or 0 where no seed starts that far behind.
-    """
+    """Seeds of a text, the words they start at, and the hash of the run at each (0 where fewer words are left)."""
     k = shingles(text)
     if len(k) == 0:
-        return np.zeros(0, np.uint64), *[np.zeros(0, np.int32)] * (2 + len(REACH))
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
     at = winnowed(k, WINDOW)
     whole = at[at + LONG < len(k)]
     h = k[whole]
@@ -95,15 +93,20 @@ def keys(text: str | None) -> tuple[np.ndarray, ...]:
         h = (h ^ (h >> np.uint64(31))) * M1 + k[whole + j]
     run = np.zeros(len(at), np.int32)
     run[: len(whole)] = (mixed(h) | np.uint64(1)).astype(np.uint32).view(np.int32)
-    pairs = []
+    return k[at], at.astype(np.int32), run
+
+
+def pairs_of(seed: np.ndarray, pos: np.ndarray, counts: list[int]) -> list[np.ndarray]:
+    """Pairs of the seeds of many texts, ``counts`` seeds of each: 24 bits of the second seed's hash and 8 of its distance in words, or 0."""
+    text = np.repeat(np.arange(len(counts)), counts)
+    at = pos.astype(np.int64) + text * (1 << 32)
+    out = []
     for least in REACH:
-        second = np.searchsorted(at, at + least)
-        has = second < len(at)
-        pair = np.zeros(len(at), np.uint32)
-        to = second[has]
-        pair[has] = ((k[at[to]] >> np.uint64(8)).astype(np.uint32) | np.uint32(1)) << np.uint32(8) | (at[to] - at[has]).astype(np.uint32)
-        pairs.append(pair.view(np.int32))
-    return k[at], at.astype(np.int32), run, *pairs
+        second = np.minimum(np.searchsorted(at, at + least), len(at) - 1)
+        far = at[second] - at
+        code = ((seed[second] >> np.uint64(8)).astype(np.uint32) | np.uint32(1)) << np.uint32(8) | far.astype(np.uint32)
+        out.append(np.where((far >= least) & (text[second] == text), code, np.uint32(0)).view(np.int32))
+    return out
 
 
 def sketch(docs: DataFrame) -> DataFrame:
@@ -116,8 +119,10 @@ def sketch(docs: DataFrame) -> DataFrame:
             for lo in range(0, len(b), 1000):
                 part = b.iloc[lo : lo + 1000]
                 got = [keys(t) for t in part["text"]]
-                seed, *rest = (np.concatenate(c) for c in zip(*got, strict=True))
-                ids = np.repeat(part["doc_id"].to_numpy(), [len(g[0]) for g in got])
+                seed, pos, runs = (np.concatenate(c) for c in zip(*got, strict=True))
+                counts = [len(g[0]) for g in got]
+                ids = np.repeat(part["doc_id"].to_numpy(), counts)
+                rest = [pos, runs, *pairs_of(seed, pos, counts)]
                 yield pd.DataFrame({"doc_id": ids, "seed": seed.view(np.int64)} | dict(zip(names, rest, strict=True)))
 
     schema = ", ".join([f"doc_id {kind}", "seed long", *[f"{n} int" for n in names]])
@@ -326,8 +331,8 @@ def common_length(x: list, y: list) -> int:
     return len(x) - v.bit_count()
 
 
-def extend(x: list, y: list, at: int, to: int, step: int) -> int:
-    """Words by which equal words go on in one direction, with single changes between them."""
+def extend(x: list, y: list, at: int, to: int, step: int) -> tuple[int, int]:
+    """Words by which equal words go on in one direction, with single changes between them, and how many of them are equal."""
     best = run = score = top = 0
     while 0 <= at < len(x) and 0 <= to < len(y):
         score += 1 if x[at] == y[to] else -CHANGE
@@ -337,7 +342,7 @@ def extend(x: list, y: list, at: int, to: int, step: int) -> int:
         elif score < top - DROP:
             break
         at, to = at + step, to + step
-    return best
+    return best, (top + CHANGE * best) // (1 + CHANGE)
 
 
 def equal_runs(x: list, y: list, parts: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -345,6 +350,9 @@ def equal_runs(x: list, y: list, parts: list[tuple[int, int, int, int]]) -> list
     out = []
     for x0, x1, y0, _ in parts:
         start = x0
+        if x[x0:x1] == y[y0 : y0 + x1 - x0]:
+            out.append((x0, x1, y0, y0 + x1 - x0))
+            continue
         for i in range(x0, x1 + 1):
             if i == x1 or x[i] != y[y0 + i - x0]:
                 if i - start >= SHINGLE:
@@ -371,7 +379,7 @@ class Chain:
         self.wide = [k for k, w in enumerate(self.width) if w > WIDE]
         self.met: dict[int, int] = {}
         same = [0 if w > WIDE else self._gap(k) for k, w in enumerate(self.width)] + [0]
-        self.upto = np.concatenate([[0], np.cumsum([b - a + s for (a, b, _, _), s in zip(self.runs, same, strict=True)])]).tolist()
+        self.upto = list(accumulate((b - a + s for (a, b, _, _), s in zip(self.runs, same, strict=False)), initial=0))
 
     def _gap(self, k: int) -> int:
         q, r = self.runs[k], self.runs[k + 1]
@@ -398,9 +406,9 @@ class Chain:
         same = self.common(i, j, least * words)
         if same < least * words:
             return None
-        left = extend(self.x, self.y, s - 1, rs - 1, -1)
-        right = extend(self.x, self.y, e, re, 1)
-        more = sum(a == b for a, b in zip(self.x[s - left : s], self.y[rs - left : rs], strict=True)) + sum(a == b for a, b in zip(self.x[e : e + right], self.y[re : re + right], strict=True))
+        left, a = extend(self.x, self.y, s - 1, rs - 1, -1)
+        right, b = extend(self.x, self.y, e, re, 1)
+        more = a + b
         if same + more >= least * (words + left + right):
             return s - left, e + right, (same + more) / (words + left + right)
         return s, e, same / words
