@@ -44,3 +44,8 @@ def equals_sql(spark, tmp_path):
 def test_a_quoted_field_is_no_url(equals_sql):
     """Lines 1575 and 11025 have no url and a quoted field; they make no article."""
     equals_sql("gkg_archives", [(i, i, "error", 0) for i in (1575, 1576, 1581, 11025, 11026)])
+
+
+def test_the_bar_that_the_first_event_lies_in_comes_out(equals_sql):
+    got = equals_sql("stream_pairs", [(i, 40 * i, "view" if i % 2 else "click", i % 9) for i in range(1, 40)])
+    assert got
