@@ -49,3 +49,8 @@ def test_a_quoted_field_is_no_url(equals_sql):
 def test_the_bar_that_the_first_event_lies_in_comes_out(equals_sql):
     got = equals_sql("stream_pairs", [(i, 40 * i, "view" if i % 2 else "click", i % 9) for i in range(1, 40)])
     assert got
+
+
+def test_percentiles_are_not_kept_for_each_article(spark):
+    plan = QUERIES["audit_sketches"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "percentile_approx" in line and "dedup_key" in line.split("functions=")[0]]
