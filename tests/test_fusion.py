@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import fusion
@@ -64,3 +66,18 @@ def test_no_nested_loop_over_tables(spark):
     for name in ("sent_compare", "sent_lexicon", "fusion_events_flat", "entity_gkg", "audit_scores_by_model"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "CartesianProduct" not in plan, name
+
+
+def test_near_pairs_hold_the_nearest_of_dense_news(spark):
+    """Bars, one of them twice, off the minute and at its edges, with news in heaps at one time, own and foreign, and with less than ten in the window."""
+    rng = random.Random(8)
+    b = bars(spark, *[(t, i, T0 + rng.randint(-3, 3) * 700_001) for t in "AB" for i in ("5m", "1d") for _ in range(4)], ("A", "5m", T0 + 10 * 86_400_000)).dropDuplicates()
+    b = b.unionAll(b.filter("ticker = 'A'"))
+    rows = [("A", T0 + rng.randint(-2_000, 2_000) * 1_000, f"a{i}", rng.random() < 0.5) for i in range(3_000)]
+    rows += [("B", T0 + 60_000 * (i % 3), f"b{i}", i % 2 == 0) for i in range(40)] + [("A", T0 + 10 * 86_400_000 + m * 60_000, f"c{m}", False) for m in (-30, 5)] + [("A", None, "d", False)]
+    n = spark.createDataFrame(rows, "ticker string, published_ms long, dedup_key string, is_foreign boolean")
+    whole, near = fusion.interval_pairs(b, n), fusion.near_pairs(b, n)
+    assert near.count() * 10 < whole.count()
+    cols = ["ticker", "interval", "timestamp_ms", "rank", "dedup_key", "offset_min"]
+    want, got = (sorted(map(tuple, fusion.nearest(x).select(cols).collect())) for x in (whole, near))
+    assert got == want and len(want) > 100
