@@ -54,3 +54,9 @@ def test_the_bar_that_the_first_event_lies_in_comes_out(equals_sql):
 def test_percentiles_are_not_kept_for_each_article(spark):
     plan = QUERIES["audit_sketches"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not [line for line in plan.splitlines() if "percentile_approx" in line and "dedup_key" in line.split("functions=")[0]]
+
+
+def test_contents_are_read_before_articles_are_shuffled(spark):
+    plan = QUERIES["entity_orgs"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()  # from the result down to the tables
+    window = min(i for i, line in enumerate(plan) if "row_number" in line)
+    assert min(i for i, line in enumerate(plan) if "regexp_extract_all" in line) > window
