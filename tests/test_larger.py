@@ -60,3 +60,11 @@ def test_contents_are_read_before_articles_are_shuffled(spark):
     plan = QUERIES["entity_orgs"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()  # from the result down to the tables
     window = min(i for i, line in enumerate(plan) if "row_number" in line)
     assert min(i for i, line in enumerate(plan) if "regexp_extract_all" in line) > window
+
+
+def test_landed_lines_hold_one_row(spark, tmp_path, monkeypatch):
+    from tidemark.plans import queries
+
+    monkeypatch.setattr(queries, "shared_path", lambda spark, what: str(tmp_path / what))
+    n = QUERIES["source_vendor_news"](spark, SMALL).count()
+    assert spark.read.text(str(tmp_path / "vendor")).count() == n > 0
