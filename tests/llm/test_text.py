@@ -276,6 +276,18 @@ def test_text_nbest_equals_combination_of_units(encoder):
         assert len(got) == min(5, len(want)) and all(abs(a - b) < 1e-9 for a, b in zip(got, want, strict=False))
 
 
+def test_text_nbest_gives_the_ids_of_each_segmentation(spark, encoder):
+    texts = ["hello there world", "a b", "x", "", "日本 naïve 😀"]
+    for t in texts:
+        per = [encoder.best_of(u, 5) for u in encoder.units(t)]
+        every = {tuple(i for _, part in c for i in part): sum(s for s, _ in c) for c in itertools.product(*per)}
+        ids, _, best = encoder.encode([t], 5)[0]
+        assert best[0][1].tolist() == ids.tolist() and len({tuple(i.tolist()) for _, i in best}) == len(best) == min(5, len(every))
+        assert all(abs(every[tuple(i.tolist())] - s) < 1e-9 and encoder.decode(i.tolist()) == t for s, i in best)
+    for row in encoded(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        assert row.nbest[0].ids == row.ids and all(b.pieces == len(b.ids) and encoder.decode(b.ids) == texts[row.doc_id] for b in row.nbest)
+
+
 def test_round_trip(spark):
     docs = read(spark, SMALL, "documents", "doc_id", "text")
     e = encoded(docs)

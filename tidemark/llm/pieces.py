@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -232,7 +233,7 @@ class Encoder:
         return self.unit.findall(BAR + text.replace(" ", BAR)) if text else []
 
     def encode(self, texts: list[str | None], n: int = 1) -> list[tuple | None]:
-        """For each text (ids, score, [(score, number of pieces) of the n best]); None for null."""
+        """For each text (ids, score, [(score, ids) of the n best]); None for null."""
         if len(self.row) > KEPT:
             self.clear()
         cut = [None if t is None else self.units(t) for t in texts]
@@ -248,12 +249,12 @@ class Encoder:
             lo, size = self.starts[at], self.starts[at + 1] - self.starts[at]
             ids = self.flat[np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())]
             score = float(self.score[at].sum())
-            out.append((ids, score, self._nbest(c, at, score, len(ids), n)))
+            out.append((ids, score, self._nbest(c, at, score, ids, n)))
         return out
 
-    def _nbest(self, c: list[str], at: np.ndarray, score: float, pieces: int, n: int) -> list[tuple[float, int]]:
-        """Scores and piece counts of a text's n best, from those of the n - 1 units with the least loss."""
-        best = [(score, pieces)]
+    def _nbest(self, c: list[str], at: np.ndarray, score: float, ids: np.ndarray, n: int) -> list[tuple[float, np.ndarray]]:
+        """Scores and ids of a text's n best segmentations, which differ from the best in the n - 1 units with the least loss at most."""
+        best: list[tuple[float, tuple]] = [(score, ())]
         if n > 1 and len(c):
             loss = self.loss[at]
             few = np.argpartition(loss, min(n - 1, len(loss)) - 1)[: n - 1]
@@ -262,10 +263,22 @@ class Encoder:
                     continue
                 u = c[k]
                 if (u, n) not in self.lists:
-                    self.lists[(u, n)] = [(s, len(i)) for s, i in self.best_of(u, n)]
+                    self.lists[(u, n)] = [(s, np.array(i, np.int32)) for s, i in self.best_of(u, n)]
                 own = self.lists[(u, n)]
-                best = heapq.nlargest(n, ((s + o - own[0][0], p + q - own[0][1]) for s, p in best for o, q in own))
-        return best
+                # other segmentations of the unit at place k; of equal scores the one with fewer of them goes first
+                ways = ((s + (o - own[0][0]), (*other, (k, i)) if j else other) for s, other in best for j, (o, i) in enumerate(own))
+                best = heapq.nlargest(n, ways, key=lambda w: w[0])
+        if len(best) == 1:
+            return [(score, ids)]
+        ends = np.cumsum(self.starts[at + 1] - self.starts[at])
+        out = []
+        for s, other in best:
+            parts, done = [], 0
+            for k, i in sorted(other, key=lambda x: x[0]):
+                parts += [ids[done : ends[k - 1] if k else 0], i]
+                done = ends[k]
+            out.append((s, np.concatenate([*parts, ids[done:]])))
+        return out
 
     def decode(self, ids) -> str:
         """The text of piece ids: pieces' text, bytes joined, without the space put in front."""
@@ -285,27 +298,43 @@ def encoder_of(vocab: dict) -> Encoder:
     return _encoders[key]
 
 
+def listed(values: pa.Array, sizes: list[int | None]) -> pa.ListArray:
+    """Lists of so many of the values each, null for None."""
+    ends = np.cumsum([0, *(n or 0 for n in sizes)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=pa.array([n is None for n in sizes], pa.bool_()))
+
+
+def id_lists(ids: list[np.ndarray | None]) -> pa.ListArray:
+    return listed(pa.array(np.concatenate([np.zeros(0, np.int32), *(i for i in ids if i is not None)]), pa.int32()), [None if i is None else len(i) for i in ids])
+
+
 def encoded(docs: DataFrame, path: str = MODEL, n: int = 3, scores: str = "rank") -> DataFrame:
-    """One row per document: doc_id, ids, score, nbest (score and pieces of the n best) and round_trip."""
+    """One row per document: doc_id, ids, score, nbest (score, number of pieces and ids of the n best) and round_trip."""
     vocab = docs.sparkSession.sparkContext.broadcast(vocabulary(path, scores))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder_of(vocab.value)
         for b in batches:
             for lo in range(0, len(b), ROWS):
-                part = b.iloc[lo : lo + ROWS]
-                texts = part["text"].tolist()
+                part = b.slice(lo, ROWS)
+                texts = part["text"].to_pylist()
                 got = e.encode(texts, n)
-                yield pd.DataFrame({
+                every = [x for g in got if g is not None for x in g[2]]
+                best = pa.StructArray.from_arrays(
+                    [pa.array([s for s, _ in every], pa.float64()), pa.array([len(i) for _, i in every], pa.int32()), id_lists([i for _, i in every])],
+                    ["score", "pieces", "ids"],
+                )
+                yield pa.RecordBatch.from_pydict({
                     "doc_id": part["doc_id"],
-                    "ids": [None if g is None else g[0] for g in got],
-                    "score": [None if g is None else g[1] for g in got],
-                    "nbest": [None if g is None else [{"score": s, "pieces": p} for s, p in g[2]] for g in got],
-                    "round_trip": [g is None or e.decode(g[0].tolist()) == t for g, t in zip(got, texts, strict=True)],
-                }).astype({"score": float})
-
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, ids array<int>, score double, nbest array<struct<score double, pieces int>>, round_trip boolean")
+                    "ids": id_lists([None if g is None else g[0] for g in got]),
+                    "score": pa.array([None if g is None else g[1] for g in got], pa.float64()),
+                    "nbest": listed(best, [None if g is None else len(g[2]) for g in got]),
+                    "round_trip": pa.array([g is None or e.decode(g[0].tolist()) == t for g, t in zip(got, texts, strict=True)], pa.bool_()),
+                })
+
+    schema = f"doc_id {kind}, ids array<int>, score double, nbest array<struct<score double, pieces int, ids array<int>>>, round_trip boolean"
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def decoded(encodings: DataFrame, path: str = MODEL) -> DataFrame:
