@@ -81,3 +81,34 @@ def test_near_copies_and_dissimilar_texts_with_a_common_passage(spark):
         own[rng.randrange(200)] = "changed"
         texts.append(" ".join(own))
     check(spark, [*texts, "", None, "one", "one", " ".join(one)][:-4] + ["one", "one", " ".join(one)])
+
+
+def test_bands_are_compared_by_bit_planes_and_keep_all_pairs(spark):
+    rng = random.Random(11)
+    texts = template_docs(rng, 40, 350, 40, 10) + [" ".join(words(rng, 90)) for _ in range(5)] + ["a b", "a b c"]
+    sets = [neardup.shingle_set(t, 5) for t in texts]
+    groups = spark.createDataFrame([(1, i, i) for i in range(len(texts))], "group long, id long, c long")
+    prints = spark.createDataFrame([(i, len(x), bytearray(neardup.wide_print(x).tobytes())) for i, x in enumerate(sets)], "id long, size int, print binary")
+    got = {(r.a, r.b) for r in neardup.close_pairs(groups, prints, 0.8).collect()}
+    similar = {(i, j) for j in range(len(sets)) for i in range(j) if len(set(sets[i]) & set(sets[j])) >= 0.8 * len(set(sets[i]) | set(sets[j]))}
+    far = {(i, j) for i in range(80) for j in range(80, 85)}
+    assert len(similar) == 40 and similar <= got and not got & far
+
+
+def test_bands_of_texts_below_the_threshold_store_few_rows(spark, monkeypatch):
+    rng, rows, keep = random.Random(12), [], neardup.stored
+
+    def counted(df, what):
+        out = keep(df, what)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    base, texts = words(rng, 400), []
+    for _ in range(60):  # similarity about 0.75, many differences shared: a group for each of them before
+        own = base[:]
+        for at in rng.sample(range(400), 6):
+            own[at] = "z"
+        texts.append(" ".join(own))
+    check(spark, texts)
+    assert sum(rows) < 10_000

@@ -35,8 +35,12 @@ CELL = 2048
 STEP = 200_000
 #: Min-hash bands and hashes to a band: a pair of similarity 0.8 meets in none with a chance of (1 - 0.8 ** 4) ** 24, 3 in a million.
 BANDS, ROWS = 24, 4
-#: Members of a group that are all compared with each other, and those that all others of a larger band are compared with first.
+#: Members of a band that are all compared with each other at once, and those that all others of a larger band are compared with first.
 SMALL_BAND, HUBS = 9, 2
+#: Members of a group whose fingerprints are all compared with each other; larger groups are parted first.
+GROUP = 1024
+#: Bits of a fingerprint of a shingle set, and shingles below which a set is compared without one, as its majorities are too coarse.
+BITS, COARSE = 2048, 100
 
 
 def shingle_hashes(text: bytes, size: int) -> list[int]:
@@ -94,10 +98,10 @@ def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
-    """64 bit planes of the fingerprints, 64 members to a word: shape (64, words)."""
+    """Bit planes of the fingerprints of 64 bits or a multiple, 64 members to a word: shape (bits, words)."""
     n = len(fps)
-    bits = np.unpackbits(fps.view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
-    padded = np.zeros((-(-n // 64) * 64, 64), np.uint8)
+    bits = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8).reshape(n, -1), axis=1, bitorder="little")
+    padded = np.zeros((-(-n // 64) * 64, bits.shape[1]), np.uint8)
     padded[:n] = bits
     return np.packbits(np.ascontiguousarray(padded.T), axis=1, bitorder="little").view(np.uint64)
 
@@ -109,13 +113,14 @@ def near(queries: np.ndarray, vertical: np.ndarray, radius: int, passed: np.ndar
     passed the radius are set in ``passed``, and the rest of the planes is left alone once that holds for all.
     """
     count = [np.zeros_like(passed) for _ in range(max(1, radius.bit_length()))]
-    flipped = [np.where((queries >> np.uint64(p)) & np.uint64(1), np.uint64(2**64 - 1), np.uint64(0))[:, None] for p in range(64)]
+    queries = queries.reshape(len(queries), -1)
+    flipped = [np.where((queries[:, p // 64] >> np.uint64(p % 64)) & np.uint64(1), np.uint64(2**64 - 1), np.uint64(0))[:, None] for p in range(len(vertical))]
 
     def adder(a, b, c):
         u = a ^ b
         return u ^ c, (a & b) | (u & c)
 
-    for block in range(0, 64, 8):
+    for block in range(0, len(vertical), 8):
         d = [vertical[p][None, :] ^ flipped[p] for p in range(block, block + 8)]
         s1, c1 = adder(d[0], d[1], d[2])
         s2, c2 = adder(d[3], d[4], d[5])
@@ -126,12 +131,15 @@ def near(queries: np.ndarray, vertical: np.ndarray, radius: int, passed: np.ndar
         fours, eights = e1 ^ e2, e1 & e2
         parts, carry = [ones, twos, fours, eights], np.zeros_like(passed)
         for k in range(max(len(count), 4)):
-            part = parts[k] if k < 4 else np.zeros_like(passed)
-            if k < len(count):
-                count[k], carry = adder(count[k], part, carry)
+            if k >= len(count):
+                passed |= parts[k]
+            elif k < 4:
+                count[k], carry = adder(count[k], parts[k], carry)
             else:
-                passed |= part
+                count[k], carry = count[k] ^ carry, count[k] & carry
         passed |= carry
+        if (block + 8) % (len(vertical) // 8):
+            continue  # wide fingerprints are judged eight times in all
         less, more = np.full_like(passed, 2**64 - 1), np.zeros_like(passed)
         for k in range(len(count) - 1, -1, -1):
             if not radius >> k & 1:
@@ -255,6 +263,69 @@ def band_hashes(shingles: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(row.tobytes(), no) for no, row in enumerate(least)], np.uint64)
 
 
+def wide_print(shingles: np.ndarray) -> np.ndarray:
+    """SimHash of ``BITS`` bits of a set of shingle hashes."""
+    out = []
+    for k in range(BITS // 64):
+        h = (shingles ^ np.uint64(k * 0x9E3779B97F4A7C15 & 2**64 - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        out.append(majority(h ^ (h >> np.uint64(29)), np.array([len(h)])))
+    return np.concatenate(out)
+
+
+def reach(least: float) -> int:
+    """Bits in which fingerprints of two sets of similarity ``least`` may differ: the mean and 6.2 deviations.
+
+    A bit differs with a chance of acos(cosine) / pi; of all pairs of that similarity the cosine is least where both sets are of one size.
+    """
+    p = float(np.arccos(2 * least / (1 + least)) / np.pi)
+    return int(BITS * p + 6.2 * (BITS * p * (1 - p)) ** 0.5) + 1
+
+
+def close_pairs(groups: DataFrame, prints: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of members of a group in different classes whose fingerprints and sizes allow a similarity of ``least``.
+
+    ``groups``: (group, id, c), of ``GROUP`` members at most each; ``prints``: (id, size, print). All pairs of a group are judged, by bit planes.
+    """
+    kind = groups.schema["id"].dataType.simpleString()
+    ready = groups.join(prints, "id").select("group", "id", "c", "size", "print")
+    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number, as few bytes here are much work
+    ready = ready.repartition(parts, "group").sortWithinPartitions("group", "id")
+    radius = reach(least)
+
+    def compare(g: pd.DataFrame) -> pd.DataFrame:
+        ids, c, size = g["id"].to_numpy(), g["c"].to_numpy(), g["size"].to_numpy()
+        fps = np.frombuffer(b"".join(g["print"]), "<u8").reshape(len(g), -1)
+        vertical, n, out = planes(fps), len(g), []
+        for at in range(0, n, 256):
+            rows = np.arange(at, min(n, at + 256))
+            asked = (np.arange(n)[None, :] > rows[:, None]) & (c[None, :] != c[rows, None])
+            asked &= np.minimum(size[None, :], size[rows, None]) >= least * np.maximum(size[None, :], size[rows, None])
+            keep = np.zeros((len(rows), vertical.shape[1] * 64), np.uint8)
+            keep[:, :n] = asked
+            hits = near(fps[rows], vertical, radius, ~np.packbits(keep, axis=1, bitorder="little").view(np.uint64))
+            found = np.unpackbits(hits.view(np.uint8), axis=1, bitorder="little")[:, :n].astype(bool)
+            found |= asked & ((size < COARSE)[None, :] | (size < COARSE)[rows, None])
+            i, j = np.nonzero(found)
+            out.append(pd.DataFrame({"a": ids[rows[i]], "b": ids[j]}))
+        return pd.concat(out)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for b in batches:
+            b = b if rest is None else pd.concat([rest, b], ignore_index=True)
+            k = b["group"].to_numpy()
+            starts = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1])
+            got = [compare(b.iloc[s:e]) for s, e in zip(starts[:-1], starts[1:], strict=True)]
+            if got:
+                yield pd.concat(got).drop_duplicates()  # bands of one task often hold the same members
+            rest = b.iloc[starts[-1] :]
+        if rest is not None and len(rest):
+            yield compare(rest)
+
+    return ready.mapInPandas(run, f"a {kind}, b {kind}").distinct()
+
+
 def several(groups: DataFrame, joined: DataFrame) -> DataFrame:
     """Groups (group, id, c: its class so far) whose members are not all joined yet; of groups of the same members one."""
     named = groups.select("group", "id").join(joined, groups["id"] == joined["node"], "left").select("group", "id", F.coalesce("component", "id").alias("c"))
@@ -299,8 +370,9 @@ def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> Dat
 
     Texts of equal sets are one class at once. Others meet in bands of min-hashes, and each pair that meets is compared
     by its whole sets. In a band of more than ``SMALL_BAND`` classes all are compared with a few of it first, drawn anew in each band, which
-    joins near copies at a fixed number of pairs a member; bands that still hold several classes are parted by ``parted`` until every pair that
-    may reach ``least`` has been compared or joined by way of another. Rows with a null id have no class.
+    joins near copies at a fixed number of pairs a member. In bands that still hold several classes the fingerprints of all members are
+    compared by bit planes, as operator 4 does, and pairs within ``reach`` are compared by their whole sets; bands of more than ``GROUP``
+    members are parted by ``parted`` into such groups first. Rows with a null id have no class.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -330,6 +402,11 @@ def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> Dat
         for b in batches:
             yield pd.DataFrame({"id": b["doc_id"], "shingles": [shingle_set(t, size).view(np.int64) for t in b["text"]]})
 
+    def printed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [shingle_set(t, size) for t in b["text"]]
+            yield pd.DataFrame({"id": b["doc_id"], "size": [len(g) for g in got], "print": [wide_print(g).astype("<u8").tobytes() for g in got]})
+
     def compared(met: DataFrame) -> DataFrame:
         """Pairs of (a, b) that reach ``least``. Sets are made anew for the documents that meet another, which is far less to move than all sets."""
         asked = met.select(F.col("a").alias("id")).unionAll(met.select("b")).distinct()
@@ -361,19 +438,30 @@ def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> Dat
         found = joined
     else:
         ids = groups.select("id").distinct()
-        arrays = stored(texts.join(ids, texts["doc_id"] == ids["id"], "left_semi").mapInPandas(listed, f"id {kind}, shingles array<long>").dropDuplicates(["id"]), "arrays")
+        asked = texts.join(ids, texts["doc_id"] == ids["id"], "left_semi")
+        prints = stored(asked.mapInPandas(printed, f"id {kind}, size int, print binary").dropDuplicates(["id"]), "prints")
+        arrays = None
         while not groups.isEmpty():
-            more, found = parted(groups, arrays, least)
-            smaller = several(found, joined)
-            forget(groups, found)
-            small = smaller.join(smaller.groupBy("group").agg(F.count("*").alias("n")).filter(F.col("n") <= SMALL_BAND).select("group"), "group")
-            twice = small.select("group", F.col("id").alias("other"), F.col("c").alias("d"))
-            few = small.join(twice, "group").filter("id < other AND c <> d").select(F.col("id").alias("a"), F.col("other").alias("b"))
-            asked = stored(more.unionAll(few).distinct(), "met")
-            fresh = compared(asked)
+            sizes = groups.groupBy("group").agg(F.count("*").alias("n"))
+            few = close_pairs(groups.join(sizes.filter(F.col("n") <= GROUP).select("group"), "group"), prints, least)
+            large = stored(groups.join(sizes.filter(F.col("n") > GROUP).select("group"), "group"), "large")
+            if large.isEmpty():
+                met = stored(few, "met")
+            else:
+                if arrays is None:
+                    ids = large.select("id").distinct()
+                    arrays = stored(texts.join(ids, texts["doc_id"] == ids["id"], "left_semi").mapInPandas(listed, f"id {kind}, shingles array<long>").dropDuplicates(["id"]), "arrays")
+                more, smaller = parted(large.select("group", "id"), arrays, least)
+                met = stored(few.unionAll(more).distinct(), "met")
+                forget(more)
+            fresh = compared(met)
             joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(fresh), "a", "b")
-            groups = several(smaller.join(small.select("group").distinct(), "group", "left_anti"), joined)
-            forget(smaller, more, asked, fresh)
+            forget(groups, met, fresh)
+            if large.isEmpty():
+                break
+            forget(large)
+            groups = several(smaller, joined)
+            forget(smaller)
         found = joined
     classes = named.join(found, named["rep"] == found["node"], "left").select("same", F.coalesce("component", "rep").alias("component_id"))
     return own.select("doc_id", "same").join(classes, "same").select("doc_id", "component_id")
