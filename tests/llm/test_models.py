@@ -179,3 +179,35 @@ def test_context_tree_equals_brute_force(spark):
     assert got.keys() == counts.keys() | set(unseen)
     for w, v in got.items():
         assert math.isclose(v, brute_tree(counts, w), rel_tol=1e-6), w
+
+
+def test_contexts_reach_across_words(spark):
+    """A word is likelier behind the word that it always follows; the model of running text equals the tree by brute force."""
+    rows = [(i, "left right up down", True) for i in range(8)] + [(8, "up left down right", False), (9, "left right", False), (10, "down right", False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, teach boolean")
+    got = {r.doc_id: r.score for r in lm.lm_scores(docs, F.col("teach")).collect()}
+    assert got[0] > got[8] + 2 and got[9] > got[10] + 1
+    # windows of the running text, listed byte by byte
+    texts = {r[0]: b" " * lm.DEPTH + b" ".join(r[1].encode().split()) + b" " + lm.END for r in rows}
+    own = {i: [int.from_bytes(t[p - lm.DEPTH : p + 1], "big") for p in range(lm.DEPTH, len(t))] for i, t in texts.items()}
+    n = Counter({w: 0 for x in own.values() for w in x})
+    n.update(w for i, x in own.items() if i < 8 for w in x)
+    window = np.array(sorted(n))
+    count = np.array([n[w] for w in window.tolist()])
+    two = lm._levels(window, count, 2, lm.DEPTH)[0][0]
+    below = pd.DataFrame({"key": (two.key >> 8 & 255) << 8 | two.key & 255, "w": two.log_w}).groupby("key").w.sum()
+    pairs = pd.DataFrame({"pair": window & 65535, "n": count}).groupby("pair").n.sum()
+    top = lm.Top(pairs.index.to_numpy(), pairs.to_numpy(), below.index.to_numpy(), below.to_numpy())
+    lp = dict(zip(window.tolist(), lm.window_scores(window, count, top).tolist(), strict=True))
+    for i, x in own.items():
+        assert math.isclose(got[i], sum(lp[w] for w in x), rel_tol=1e-5)
+
+
+def test_common_and_other_windows_alike(spark, monkeypatch):
+    """Scores don't turn on which windows and tokens are broadcast and which are joined."""
+    docs = spark.createDataFrame([(i, f"some words {i % 3} and more words {i % 7}") for i in range(40)] + [(40, ""), (41, None)], "doc_id long, text string").repartition(60)  # some partitions are empty
+    want = {r.doc_id: r for r in lm.lm_scores(docs, F.col("doc_id") < 30).collect()}
+    monkeypatch.setattr(lm, "SHARED", 20)
+    monkeypatch.setattr(lm, "COMMON", 3)
+    got = {r.doc_id: r for r in lm.lm_scores(docs, F.col("doc_id") < 30).collect()}
+    assert len(got) == 42 and all(math.isclose(r.score, got[i].score, rel_tol=1e-5) and math.isclose(r.base_score, got[i].base_score) and r.n_known == got[i].n_known for i, r in want.items())

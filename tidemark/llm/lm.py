@@ -3,17 +3,16 @@
 The model is a context tree over bytes. A byte is eight binary choices; at each depth 0 to ``DEPTH`` the context of the
 last bytes has a Krichevsky-Trofimov estimator for each choice, and context-tree weighting mixes all depths:
 a node's weighted probability is half its own estimate plus half the product of its children's, and the shares that follow
-from it weigh the depths when a byte is predicted. A context starts anew with each token, so a token costs
-the same wherever it stands, and a text's score is the sum over its tokens, each with the space behind it, and the end.
+from it weigh the depths when a byte is predicted. What is coded is the running text: its words, a space behind each, and
+the end, so contexts reach across words. Before a text's first byte stand spaces.
 
-That makes distinct tokens the unit of work:
+A byte with its context is a window of ``DEPTH`` + 1 bytes:
 
-1. tokens are counted per task and summed by Spark: the counts of the base model and the weights of the tree;
-2. each partition of distinct tokens lists its byte windows; their sums are dealt by the last two context bytes, so that
-   all nodes of depth two or more of a context lie together; what depths 0 and 1 need is a table of at most 256 x 256 sums;
-3. windows' code lengths go back to the partitions that asked for them, and each token gets its own;
-4. texts are scored where they are read. Tokens that hold at least 1 / ``COMMON`` of all tokens, of which there can be
-   at most ``COMMON``, are broadcast; all others are joined by token.
+1. each task counts the windows of its texts and deals them by hash of the context, packed, to the tasks that sum them up;
+2. sums are dealt by the last two context bytes, so that all nodes of depth two or more of a context lie together;
+   what depths 0 and 1 need is a table of at most 256 x 256 sums;
+3. texts are scored where they are read. Of the windows and tokens the commonest, ``SHARED`` and ``COMMON`` at most, are
+   broadcast; all others are joined.
 
 Defined cases: a null or empty text is one end token; rows with a null id are scored, and taught from only if ``teach`` is
 true for them; repeated rows give one result row each; with nothing to learn from all tokens are unknown and bits are
@@ -24,20 +23,25 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.common import stored
 
 DEPTH = 6
-#: Tokens with at least this share of all tokens are broadcast, so there are at most this many of them.
-COMMON = 1 << 17
-END = b"\xff"
-PAD = 0x20
+#: Tokens and windows that are broadcast, the commonest, at most.
+COMMON, SHARED = 1 << 16, 5 << 18
+#: Bytes of text whose windows are listed at once, and windows that a task holds before it passes them on.
+PIECE, HELD = 1 << 19, 700_000
+#: Bytes that no text holds: the end, and what stands before a window where it is joined like a token.
+END, MARK = b"\xff", b"\xfe"
 LN10 = math.log(10)
 
 
@@ -50,20 +54,99 @@ def tokens(text: str | None) -> list[bytes]:
 # ---- windows ----
 
 
-def windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(window, word index) of every byte to code: the byte in the low bits, its context above, the last byte lowest."""
+def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The window of every byte of some texts: the byte in the low bits, its context above, the last byte lowest; and the texts' sizes."""
     gap = b" " * DEPTH
-    raw = gap + gap.join(words) + gap
-    a = np.frombuffer(raw, np.uint8).astype(np.int64)
-    sizes = np.array([len(w) for w in words])
-    starts = DEPTH + np.concatenate([[0], np.cumsum(sizes + DEPTH)[:-1]])
-    coded = sizes + (np.array(words, object) != END)  # the end has no space behind it
-    owner = np.repeat(np.arange(len(words)), coded)
-    at = np.repeat(starts - np.concatenate([[0], np.cumsum(coded)[:-1]]), coded) + np.arange(coded.sum())
-    w = np.zeros(len(at), np.int64)
+    a = np.frombuffer(gap + gap.join(texts), np.uint8)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    n = len(a) - DEPTH
+    w = np.zeros(n, np.int64)
     for k in range(DEPTH, -1, -1):
-        w = (w << 8) | a[at - k]
-    return w, owner
+        w <<= 8
+        w |= a[DEPTH - k : DEPTH - k + n]
+    between = np.ones(n, bool)
+    for at in np.cumsum(sizes + DEPTH)[:-1].tolist():
+        between[at - DEPTH : at] = False
+    return w[between], sizes
+
+
+def summed(w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct windows in order, and the sums of their counts."""
+    if len(w) == 0:
+        return w, n
+    order = np.argsort(w, kind="stable")
+    w = w[order]
+    first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+    return w[first], np.add.reduceat(n[order], first)
+
+
+def counted(texts: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct windows of some texts, and their counts by the texts' weights."""
+    parts = []
+    for weight in np.unique(weights):
+        w = np.sort(windows([texts[i] for i in np.flatnonzero(weights == weight)])[0])
+        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+        parts.append((w[first], np.diff(np.append(first, len(w))) * weight))
+    return summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers as eight planes of bytes, which are compressed well where high bytes are equal."""
+    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+class Lookup:
+    """Scores of windows, asked for by arrays; the first to ask in a process has the table of open addresses made."""
+
+    def __init__(self, window: np.ndarray, lp: np.ndarray) -> None:
+        self.rows, self.bits = (window, lp), 0
+
+    def _open(self) -> None:
+        window, lp = self.rows
+        self.bits = max(4, (3 * len(window) // 2).bit_length())
+        self.key, self.lp = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.float32)
+        slot = self._slot(window)
+        while len(window):
+            free = np.flatnonzero(self.key[slot] < 0)
+            taken, first = np.unique(slot[free], return_index=True)
+            own = free[first]
+            self.key[taken], self.lp[taken] = window[own], lp[own]
+            rest = np.ones(len(window), bool)
+            rest[own] = False
+            window, lp, slot = window[rest], lp[rest], self._next(slot[rest])
+        self.rows = None
+
+    def _slot(self, window: np.ndarray) -> np.ndarray:
+        return ((window.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def _next(self, slot: np.ndarray) -> np.ndarray:
+        return (slot + 1) & ((1 << self.bits) - 1)
+
+    def ask(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The score of each window, 0 where it has none here; and the places of those."""
+        if not self.bits:
+            self._open()
+        slot = self._slot(window)
+        got = self.key[slot]
+        out = self.lp[slot].astype(float)
+        todo = np.flatnonzero(got != window)
+        out[todo] = 0
+        missing = [todo[got[todo] < 0]]
+        todo = todo[got[todo] >= 0]
+        slot = slot[todo]
+        while len(todo):
+            slot = self._next(slot)
+            got, want = self.key[slot], window[todo]
+            hit = got == want
+            out[todo[hit]] = self.lp[slot[hit]]
+            missing.append(todo[got < 0])
+            rest = ~hit & (got >= 0)
+            todo, slot = todo[rest], slot[rest]
+        return out, np.concatenate(missing)
 
 
 # ---- the tree ----
@@ -118,6 +201,8 @@ class Level:
         self.a = np.bincount(self.at.ravel(), zeros.ravel(), len(self.key)).astype(np.int64)
         self.b = np.bincount(self.at.ravel(), ones.ravel(), len(self.key)).astype(np.int64)
         self.own = log_own(self.a, self.b)
+        self.seen = self.a + self.b > 0
+        self.next = np.stack([next_bit(self.a, self.b, np.full(len(self.key), bit)) for bit in (0, 1)], axis=1).ravel()
 
     def weigh(self, below: np.ndarray | None) -> None:
         """below: sum of the children's log weighted probabilities; None for the deepest level."""
@@ -127,12 +212,11 @@ class Level:
     def mix(self, rows: slice, bit: np.ndarray, deeper: np.ndarray | None, seen: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """Probability of each bit of some windows from this level and the one below it, and whether this level has been seen."""
         at = self.at[:, rows]
-        a, b = self.a[at], self.b[at]
-        own = next_bit(a, b, bit)
+        own = self.next[2 * at + bit]
         if deeper is None:
-            return own, a + b > 0
+            return own, self.seen[at]
         s = self.share[at]
-        return np.where(seen, s * own + (1 - s) * deeper, own), a + b > 0
+        return np.where(seen, s * own + (1 - s) * deeper, own), self.seen[at]
 
 
 def _levels(window: np.ndarray, count: np.ndarray, least: int, most: int) -> tuple[list[Level], np.ndarray]:
@@ -234,7 +318,7 @@ def token_counts(docs: DataFrame, teach: Column) -> DataFrame:
         for b in batches:
             for text, learn in zip(b["text"], b["teach"], strict=True):
                 (taught if learn else other).update(tokens(text))
-            if len(taught) + len(other) > 600_000:
+            if len(taught) + len(other) > 300_000:
                 yield rows()
                 taught.clear()
                 other.clear()
@@ -244,26 +328,65 @@ def token_counts(docs: DataFrame, teach: Column) -> DataFrame:
     return some.groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def token_scores(counts: DataFrame) -> DataFrame:
-    """(token, c, lp): log10 probability of each token under the context tree. ``counts`` is a stored table."""
-    spark = counts.sparkSession
-    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    block = F.pmod(F.xxhash64("token"), F.lit(parts)).cast("int")
-    blocks = counts.select(block.alias("block"), "token", "c")
-
-    def list_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def pieces(texts: list[bytes]) -> Iterator[slice]:
+    """Runs of texts of ``PIECE`` bytes or one text."""
+    lo = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > PIECE:
+            yield slice(lo, i)
+            lo, size = i, 0
+        size += len(t)
+    if lo < len(texts):
+        yield slice(lo, len(texts))
+
+
+def window_sums(rows: DataFrame, coded: Callable) -> DataFrame:
+    """(window, n): the distinct windows of all rows with the sums of their weights. ``coded`` gives a batch's texts as bytes and their weights."""
+    parts = max(4, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    buckets = 8 * parts
+
+    def dealt(w: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        bucket = ((w >> 8).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).view(np.int64) % buckets
+        order = np.argsort(bucket, kind="stable")
+        w, n, bucket = w[order], n[order], bucket[order]
+        first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(w) else np.zeros(0, np.int64)
+        spans = list(zip(first, [*first[1:], len(w)][: len(first)], strict=True))
+        return pd.DataFrame({"bucket": bucket[first], "w": [pack(np.diff(w[s:e], prepend=0)) for s, e in spans], "n": [pack(n[s:e]) for s, e in spans]})
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, fresh, size = (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
+        for b in (whole.iloc[lo : lo + 200] for whole in batches for lo in range(0, len(whole), 200)):
+            texts, weights = coded(b)
+            for part in pieces(texts):
+                fresh.append(counted(texts[part], weights[part]))
+                size += len(fresh[-1][0])
+                if size > HELD:
+                    held, fresh, size = summed(*(np.concatenate(x) for x in zip(held, *fresh, strict=True))), [], 0
+                    if len(held[0]) > 3 * HELD:
+                        yield dealt(*held)
+                        held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        yield dealt(*summed(*(np.concatenate(x) for x in zip(held, *fresh, strict=True))))
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, fresh, size = (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
         for b in batches:
-            w, owner = windows([bytes(t) for t in b["token"]])
-            block_, c = b["block"].to_numpy()[owner], b["c"].to_numpy()[owner]
-            order = np.lexsort((w, block_))
-            w, block_, c = w[order], block_[order], c[order]
-            first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (block_[1:] != block_[:-1])]))
-            yield pd.DataFrame({"block": block_[first], "window": w[first], "n": np.add.reduceat(c, first)})
-
-    asked = stored(blocks.repartition(parts, "block").mapInPandas(list_windows, "block int, window long, n long").groupBy("block", "window").agg(F.sum("n").alias("n")), "windows")
+            for w, n in zip(b["w"], b["n"], strict=True):
+                fresh.append((np.cumsum(unpack(w)), unpack(n)))
+                size += len(fresh[-1][0])
+                if size > HELD:
+                    held, fresh, size = summed(*(np.concatenate(x) for x in zip(held, *fresh, strict=True))), [], 0
+        w, n = summed(*(np.concatenate(x) for x in zip(held, *fresh, strict=True)))
+        for lo in range(0, len(w), 200_000):
+            yield pd.DataFrame({"window": w[lo : lo + 200_000], "n": n[lo : lo + 200_000]})
+
+    return rows.mapInPandas(count, "bucket long, w binary, n binary").repartition(parts, "bucket").mapInPandas(merge, "window long, n long")
+
+
+def scored_windows(sums: DataFrame) -> DataFrame:
+    """(window, n, lp): log10 probability of each window's byte under the context tree. ``sums`` is a stored table."""
+    spark = sums.sparkSession
     deal = F.shiftright("window", 8).bitwiseAND(F.lit(65535)).cast("int")
-    sums = stored(asked.groupBy("window").agg(F.sum("n").alias("n")).withColumn("deal", deal).repartition("deal").sortWithinPartitions("deal"), "sums")
-    ordered = sums.repartition("deal").sortWithinPartitions("deal")
+    ordered = sums.withColumn("deal", deal).repartition("deal").sortWithinPartitions("deal")
 
     def depth_two(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in _whole_contexts(batches):
@@ -278,58 +401,128 @@ def token_scores(counts: DataFrame) -> DataFrame:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in _whole_contexts(batches):
-            w = g["window"].to_numpy()
-            yield pd.DataFrame({"window": w, "lp": window_scores(w, g["n"].to_numpy(), top.value)})
+            w, n = g["window"].to_numpy(), g["n"].to_numpy()
+            yield pd.DataFrame({"window": w, "n": n, "lp": window_scores(w, n, top.value)})
+
+    return ordered.mapInPandas(score, "window long, n long, lp double")
 
-    scored = ordered.mapInPandas(score, "window long, lp double")
-    answers = asked.select("block", "window").join(scored, "window")
 
-    def sum_up(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        known = known.sort_values("window")
-        words = [bytes(t) for t in own["token"]]
-        w, owner = windows(words) if words else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        lp = known["lp"].to_numpy()[np.searchsorted(known["window"].to_numpy(), w)]
-        return pd.DataFrame({"token": own["token"], "c": own["c"], "lp": np.bincount(owner, lp, len(words))})
+def commonest(table: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows of the greatest counts, ``most`` at most; rows of nearly one count go together."""
+    bins = table.filter(F.col(count) > 0).groupBy(F.floor(F.log2(count) * 8).alias("bin")).agg(F.count("*").alias("rows"), F.min(count).alias("least"))
+    total, least = 0, None
+    for r in sorted(bins.collect(), key=lambda r: -r["bin"]):  # at most 512 rows
+        total += r["rows"]
+        if total > most:
+            break
+        least = r["least"]
+    return table.filter(F.lit(False) if least is None else F.col(count) >= least)
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(sum_up, "token binary, c long, lp double")
+
+def _window_model(rows: DataFrame, coded: Callable) -> tuple[DataFrame, Broadcast]:
+    """Scores of all windows as (token, lp), named so that they can be joined like tokens; and those of the commonest, broadcast."""
+    table = stored(scored_windows(stored(window_sums(rows, coded), "sums")), "windows")
+    some = commonest(table, "n", SHARED).select("window", F.col("lp").cast("float")).toArrow()  # at most SHARED rows
+    shared = rows.sparkSession.sparkContext.broadcast(Lookup(some["window"].to_numpy(), some["lp"].to_numpy()))
+    name = F.concat(F.lit(bytearray(MARK)), F.unhex(F.lpad(F.hex("window"), 16, "0")))
+    return table.select(name.alias("token"), "lp"), shared
+
+
+def text_scores(texts: list[bytes], table: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Scores of texts by the windows in a table; and text, window and count of those that aren't there."""
+    w, sizes = windows(texts)
+    lp, missing = table.ask(w)
+    total = np.add.reduceat(lp, np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+    text, w = np.repeat(np.arange(len(texts)), sizes)[missing], w[missing]
+    order = np.lexsort((w, text))
+    text, w = text[order], w[order]
+    first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (text[1:] != text[:-1])])) if len(w) else np.zeros(0, np.int64)
+    return total, text[first], w[first], np.diff(np.append(first, len(w)))
+
+
+def names(window: np.ndarray) -> pa.Array:
+    """Windows as they are joined like tokens: ``MARK`` and eight bytes."""
+    data = np.empty((len(window), 9), np.uint8)
+    data[:, 0] = MARK[0]
+    data[:, 1:] = window.astype(">i8").view(np.uint8).reshape(-1, 8)
+    return pa.Array.from_buffers(pa.binary(), len(window), [None, pa.py_buffer(np.arange(len(window) + 1, dtype=np.int32) * 9), pa.py_buffer(data)])
+
+
+def token_scores(counts: DataFrame) -> DataFrame:
+    """(token, c, lp): log10 probability of each token as a text of its own, in a tree of all tokens by their counts."""
+
+    def bytes_of(b: pd.DataFrame) -> tuple[list[bytes], np.ndarray]:
+        return [bytes(t) if bytes(t) == END else bytes(t) + b" " for t in b["token"]], b["c"].to_numpy(np.int64)
+
+    table, shared = _window_model(counts, bytes_of)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            texts, _ = bytes_of(b)
+            for part in pieces(texts):
+                total, at, w, k = text_scores(texts[part], shared.value)
+                own = b["token"].to_numpy()[part]
+                yield pd.DataFrame({"own": own, "token": own, "k": 0, "lm": total})
+                yield pd.DataFrame({"own": own[at], "token": names(w).to_pylist(), "k": k, "lm": 0.0})
+
+    parts = counts.mapInPandas(run, "own binary, token binary, k long, lm double")
+    lp = F.sum(F.col("lm") + F.when(F.col("k") > 0, F.col("k") * F.col("lp")).otherwise(0.0)).alias("lp")
+    total = parts.join(table, "token", "left").groupBy("own").agg(lp)
+    return counts.join(total, F.col("token") == F.col("own")).select("token", "c", "lp")
 
 
 def lm_scores(docs: DataFrame, teach: Column) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities)."""
     spark = docs.sparkSession
-    scored = stored(token_scores(stored(token_counts(docs, teach), "tokens")), "token-scores")
-    whole = scored.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    counts = stored(token_counts(docs, teach), "tokens")
+    whole = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
     n, v = whole["n"], whole["v"]
-    common = scored.filter(F.col("c") * COMMON >= max(n, 1)).toPandas()  # at most COMMON rows, as their shares add up to 1
-    table = spark.sparkContext.broadcast({bytes(t): (c, lp) for t, c, lp in zip(common["token"], common["c"], common["lp"], strict=True)})
+    common = commonest(counts, "c", COMMON).toPandas()  # at most COMMON rows
     below = math.log10(n + 0.5 * (v + 1))
+    known = spark.sparkContext.broadcast({bytes(t): math.log10(c + 0.5) - below for t, c in zip(common["token"], common["c"], strict=True)})
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def base(c: int) -> float:
-        return math.log10(c + 0.5) - below
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = {t: (base(c), lp) for t, (c, lp) in table.value.items()}
-        for b in (whole.iloc[lo : lo + 500] for whole in batches for lo in range(0, len(whole), 500)):
-            rows = []
-            for row, doc_id, text in zip(b["row"], b["doc_id"], b["text"], strict=True):
-                count = Counter(tokens(text))
-                total = nk = 0
-                bs = sc = 0.0
-                for t, k in count.items():
-                    total += k
-                    if (hit := known.get(t)) is not None:
-                        nk += k
-                        bs += k * hit[0]
-                        sc += k * hit[1]
+    def bytes_of(b: pd.DataFrame) -> tuple[list[bytes], np.ndarray]:
+        return [b" ".join(tokens(t)) for t in b["text"]], b["teach"].to_numpy(np.int64)
+
+    model, shared = _window_model(docs.select("text", F.coalesce(teach, F.lit(False)).alias("teach")), bytes_of)
+    scored = counts.select("token", "c", F.lit(None).cast("double").alias("lp")).unionAll(model.select("token", F.lit(None).cast("long").alias("c"), "lp"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = known.value
+        for b in (whole.slice(lo, 200) for whole in batches for lo in range(0, len(whole), 200)):
+            own = [tokens(t) for t in b.column("text").to_pylist()]
+            texts, number = [b" ".join(t) for t in own], b.column("row").to_numpy()
+            score = np.zeros(len(texts))
+            for part in pieces(texts):
+                score[part], at, w, k = text_scores(texts[part], shared.value)
+                yield rows(number[part][at], names(w), k)
+            rare, often, size, nk, bs = [], [], [], [], []
+            for words in own:
+                known_, sum_, before = 0, 0.0, len(rare)
+                for t, k in Counter(words).items():
+                    if (hit := base.get(t)) is not None:
+                        known_ += k
+                        sum_ += k * hit
                     else:
-                        rows.append((row, None, t, k, 0, 0, 0.0, 0.0))
-                rows.append((row, doc_id, END + row.to_bytes(8, "big"), 0, total, nk, bs, sc))
-            yield pd.DataFrame(rows, columns=["row", "doc_id", "token", "k", "n_tokens", "n_known", "base", "lm"]).astype({"doc_id": object})
-
-    parts = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInPandas(
-        run, f"row long, doc_id {kind}, token binary, k int, n_tokens long, n_known long, base double, lm double"
-    )
+                        rare.append(t)
+                        often.append(k)
+                size.append(len(rare) - before)
+                nk.append(known_)
+                bs.append(sum_)
+            yield rows(np.repeat(number, size), pa.array(rare, pa.binary()), np.array(often, np.int64))
+            mark = [END + r.to_bytes(8, "big") for r in number.tolist()]
+            yield rows(number, pa.array(mark, pa.binary()), np.zeros(len(own), np.int64), b.column("doc_id"), pa.array([len(t) for t in own]), pa.array(nk), pa.array(bs), pa.array(score))
+
+    kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "lm": pa.float64()}
+
+    def rows(number: np.ndarray, token: pa.Array, k: np.ndarray, *whole: pa.Array) -> pa.RecordBatch:
+        """Rows of tokens and windows to be joined, or of documents: doc_id, n_tokens, n_known, base and lm."""
+        rest = whole or [pa.nulls(len(number), t) for t in (id_type, *kinds.values())]
+        return pa.RecordBatch.from_arrays([pa.array(number), pa.array(k), token, *[c.cast(t) for c, t in zip(rest, (id_type, *kinds.values()), strict=True)]], ["row", "k", "token", "doc_id", *kinds])
+
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
+    parts = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(run, f"row long, k long, token binary, doc_id {kind}, n_tokens long, n_known long, base double, lm double")
     joined = parts.join(scored, "token", "left")
     k = F.col("k")
     own = F.log10(F.col("c") + 0.5) - F.lit(below)
@@ -337,9 +530,9 @@ def lm_scores(docs: DataFrame, teach: Column) -> DataFrame:
         joined.groupBy("row").agg(
             F.max("doc_id").alias("doc_id"),
             F.sum("n_tokens").alias("n_tokens"),
-            F.sum(F.col("n_known") + F.when(F.col("c") > 0, k).otherwise(0)).cast("long").alias("n_known"),
-            F.sum(F.col("base") + F.when(k > 0, k * own).otherwise(0.0)).alias("base_score"),
-            F.sum(F.col("lm") + F.when(k > 0, k * F.col("lp")).otherwise(0.0)).alias("score"),
+            F.sum(F.coalesce("n_known", F.lit(0)) + F.when(F.col("c") > 0, k).otherwise(0)).cast("long").alias("n_known"),
+            F.sum(F.coalesce("base", F.lit(0.0)) + F.when(F.col("c").isNotNull(), k * own).otherwise(0.0)).alias("base_score"),
+            F.sum(F.coalesce("lm", F.lit(0.0)) + F.when(F.col("lp").isNotNull(), k * F.col("lp")).otherwise(0.0)).alias("score"),
         )
         .select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
     )
