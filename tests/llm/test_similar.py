@@ -112,3 +112,34 @@ def test_bands_of_texts_below_the_threshold_store_few_rows(spark, monkeypatch):
         texts.append(" ".join(own))
     check(spark, texts)
     assert sum(rows) < 10_000
+
+
+def test_groups_with_their_sets_return_links_and_no_other_pairs(spark, monkeypatch):
+    rng = random.Random(13)
+    texts = template_docs(rng, 40, 350, 40, 10)  # 40 pairs above 0.8, 3120 just below
+    one = words(rng, 300)
+    texts += [" ".join([*one[:k], "changed", *one[k + 1 :]]) for k in range(30)]  # all near each other
+    sets = [neardup.shingle_set(t, 5) for t in texts]
+    groups = spark.createDataFrame([(1, i, i) for i in range(len(texts))], "group long, id long, c long")
+    rows = [(i, len(x), bytearray(neardup.wide_print(x).tobytes()), bytearray(x.astype("<u8").tobytes())) for i, x in enumerate(sets)]
+    prints = spark.createDataFrame(rows, "id long, size int, print binary, shingles binary")
+    for planar in (0, neardup.PLANAR):  # with and without bit planes
+        monkeypatch.setattr(neardup, "PLANAR", planar)
+        got = {(r.a, r.b) for r in neardup.close_pairs(groups, prints, 0.8).collect()}
+        assert {p for p in got if p[0] < 80} == {(i, i + 1) for i in range(0, 80, 2)}
+        assert len(got) == 40 + 29
+
+
+def test_pairs_are_dealt_to_bins_whole_and_compared_by_every_text_of_an_id(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "PAIRS", 50)
+    met = {(0, i) for i in range(1, 400)} | {(i, 900) for i in range(1, 300)} | {(i, i + 1) for i in range(500, 540)}
+    dealt = neardup.binned(spark.createDataFrame(sorted(met), "a long, b long")).collect()
+    assert len(dealt) == len(met) and {(r.a, r.b) for r in dealt} == met
+    sizes = {}
+    for r in dealt:
+        sizes[r.bin] = sizes.get(r.bin, 0) + 1
+    assert max(sizes.values()) < 150
+    whole = [(1, [1, 2, 3]), (1, list(range(10, 20))), (2, list(range(10, 19))), (3, [1, 2, 3, 4, 5])]
+    whole = spark.createDataFrame([(i, bytearray(b"".join(v.to_bytes(8, "little") for v in x))) for i, x in whole], "id long, shingles binary")
+    got = neardup.reaching(spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long"), whole, 0.8)
+    assert [tuple(r) for r in got.collect()] == [(1, 2)]

@@ -37,8 +37,12 @@ STEP = 200_000
 BANDS, ROWS = 24, 4
 #: Members of a band that are all compared with each other at once, and those that all others of a larger band are compared with first.
 SMALL_BAND, HUBS = 9, 2
-#: Members of a group whose fingerprints are all compared with each other; larger groups are parted first.
-GROUP = 1024
+#: Members of a group that one task compares with each other, and shingles of all of them; larger groups are parted first.
+GROUP, GROUP_SHINGLES = 4096, 1 << 22
+#: Members times shingles of a group from which fingerprints by bit planes spare more than they cost.
+PLANAR = 1 << 30
+#: Pairs whose sets meet in one task at once.
+PAIRS = 512
 #: Bits of a fingerprint of a shingle set, and shingles below which a set is compared without one, as its majorities are too coarse.
 BITS, COARSE = 2048, 100
 
@@ -282,50 +286,147 @@ def reach(least: float) -> int:
     return int(BITS * p + 6.2 * (BITS * p * (1 - p)) ** 0.5) + 1
 
 
+def runs_of(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
+    """Rows of one key each, out of a partition sorted by it."""
+    rest: list[pd.DataFrame] = []
+    for b in batches:
+        k = b[key].to_numpy()
+        starts = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(b)]])
+        for s, e in zip(starts[:-1], starts[1:], strict=True):
+            if rest and rest[0][key].iloc[0] != k[s]:
+                yield pd.concat(rest, ignore_index=True) if len(rest) > 1 else rest[0]
+                rest = []
+            rest.append(b.iloc[s:e])
+    if rest:
+        yield pd.concat(rest, ignore_index=True) if len(rest) > 1 else rest[0]
+
+
 def close_pairs(groups: DataFrame, prints: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) of members of a group in different classes whose fingerprints and sizes allow a similarity of ``least``.
 
     ``groups``: (group, id, c), of ``GROUP`` members at most each; ``prints``: (id, size, print). All pairs of a group are judged, by bit planes.
+    If ``prints`` has the sets too (``shingles``), these pairs are compared by them at once (in groups of less work than ``PLANAR`` all of fitting sizes are), and of pairs that reach ``least`` only one for each two
+    classes that it joins is returned: fewer than the group has members.
     """
-    kind = groups.schema["id"].dataType.simpleString()
-    ready = groups.join(prints, "id").select("group", "id", "c", "size", "print")
+    kind, exact = groups.schema["id"].dataType.simpleString(), "shingles" in prints.columns
+    ready = groups.join(prints, "id").select("group", "id", "c", *[n for n in prints.columns if n != "id"])
     parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number, as few bytes here are much work
-    ready = ready.repartition(parts, "group").sortWithinPartitions("group", "id")
+    ready = ready.repartition(parts, F.xxhash64("group")).sortWithinPartitions("group", "id")  # by a key of its own, else a join's coalesced partitions stay
     radius = reach(least)
 
+    def links_of(found: np.ndarray, first: int, label: np.ndarray, size: np.ndarray, flat: np.ndarray, starts: np.ndarray, mark: np.ndarray) -> list[tuple[int, int]]:
+        """Links among the pairs found of members ``first`` and on; ``label`` holds the classes and is brought up to date."""
+        out = []
+        for r in np.flatnonzero(found.any(axis=1)):
+            i = first + r
+            js = np.flatnonzero(found[r])
+            js = js[label[js] != label[i]]
+            if len(js) == 0:
+                continue
+            own = flat[starts[i] : starts[i + 1]]
+            mark[own] = 1
+            lo = int(js[0])  # what lies between two candidates is read with them
+            both = np.add.reduceat(mark[flat[starts[lo] : starts[js[-1] + 1]]], starts[lo : js[-1] + 1] - starts[lo], dtype=np.int64)[js - lo]
+            mark[own] = 0
+            js = js[both >= least * (size[i] + size[js] - both)]
+            roots, at = np.unique(label[js], return_index=True)
+            if len(roots):
+                out += [(int(i), int(js[k])) for k in at]
+                joined = np.append(roots, label[i])
+                label[np.isin(label, joined)] = joined.min()
+        return out
+
     def compare(g: pd.DataFrame) -> pd.DataFrame:
-        ids, c, size = g["id"].to_numpy(), g["c"].to_numpy(), g["size"].to_numpy()
-        fps = np.frombuffer(b"".join(g["print"]), "<u8").reshape(len(g), -1)
-        vertical, n, out = planes(fps), len(g), []
+        ids, size, n, out = g["id"].to_numpy(), g["size"].to_numpy(), len(g), []
+        label = np.unique(g["c"].to_numpy(), return_inverse=True)[1]
+        if exact:
+            full = np.frombuffer(b"".join(g["shingles"]), "<u8")
+            names, flat = np.unique(full, return_inverse=True)
+            starts, mark = np.concatenate([[0], np.cumsum(size, dtype=np.int64)]), np.zeros(len(names), np.uint8)
+        coarse = np.ones(n, bool)
+        if not exact or n * len(full) > PLANAR:
+            fps = np.frombuffer(b"".join(g["print"]), "<u8").reshape(n, -1)
+            vertical, coarse = planes(fps), size < COARSE
         for at in range(0, n, 256):
             rows = np.arange(at, min(n, at + 256))
-            asked = (np.arange(n)[None, :] > rows[:, None]) & (c[None, :] != c[rows, None])
+            asked = (np.arange(n)[None, :] > rows[:, None]) & (label[None, :] != label[rows, None])
+            asked &= (size > 0)[None, :] & (size > 0)[rows, None]
             asked &= np.minimum(size[None, :], size[rows, None]) >= least * np.maximum(size[None, :], size[rows, None])
-            keep = np.zeros((len(rows), vertical.shape[1] * 64), np.uint8)
-            keep[:, :n] = asked
-            hits = near(fps[rows], vertical, radius, ~np.packbits(keep, axis=1, bitorder="little").view(np.uint64))
-            found = np.unpackbits(hits.view(np.uint8), axis=1, bitorder="little")[:, :n].astype(bool)
-            found |= asked & ((size < COARSE)[None, :] | (size < COARSE)[rows, None])
-            i, j = np.nonzero(found)
-            out.append(pd.DataFrame({"a": ids[rows[i]], "b": ids[j]}))
+            found = asked & (coarse[None, :] | coarse[rows, None])
+            if (asked & ~found).any():
+                keep = np.zeros((len(rows), vertical.shape[1] * 64), np.uint8)
+                keep[:, :n] = asked & ~found
+                hits = near(fps[rows], vertical, radius, ~np.packbits(keep, axis=1, bitorder="little").view(np.uint64))
+                found |= np.unpackbits(hits.view(np.uint8), axis=1, bitorder="little")[:, :n].astype(bool)
+            if exact:
+                i, j = np.array(links_of(found, at, label, size, flat, starts, mark), int).reshape(-1, 2).T
+            else:
+                i, j = np.nonzero(found)
+                i = rows[i]
+            out.append(pd.DataFrame({"a": ids[i], "b": ids[j]}))
         return pd.concat(out)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for b in batches:
-            b = b if rest is None else pd.concat([rest, b], ignore_index=True)
-            k = b["group"].to_numpy()
-            starts = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1])
-            got = [compare(b.iloc[s:e]) for s, e in zip(starts[:-1], starts[1:], strict=True)]
-            if got:
+        got: list[pd.DataFrame] = []
+        for g in runs_of(batches, "group"):
+            got.append(compare(g))
+            if sum(map(len, got)) > 10_000 or len(got) > 1000:
                 yield pd.concat(got).drop_duplicates()  # bands of one task often hold the same members
-            rest = b.iloc[starts[-1] :]
-        if rest is not None and len(rest):
-            yield compare(rest)
+                got = []
+        if got:
+            yield pd.concat(got).drop_duplicates()
 
     return ready.mapInPandas(run, f"a {kind}, b {kind}").distinct()
 
 
+def binned(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) dealt to bins (bin, a, b), so that a member comes to few bins: its pairs with others of one cluster lie in one bin.
+
+    A pair lies in the bin of the least member that ``a`` has a pair with. Bins of more than ``PAIRS`` pairs are cut by a hash of the pair.
+    """
+    ends = met.select("a", F.col("b").alias("other")).unionAll(met.select("b", "a"))
+    label = ends.groupBy("a").agg(F.least("a", F.min("other")).alias("of"))
+    dealt = met.join(label, "a")
+    large = dealt.groupBy("of").agg(F.ceil(F.count("*") / PAIRS).cast("int").alias("parts")).filter("parts > 1")
+    part = F.pmod(F.xxhash64("a", "b"), F.coalesce("parts", F.lit(1)))
+    return dealt.join(large, "of", "left").select(F.xxhash64("of", part).alias("bin"), "a", "b")
+
+
+def reaching(met: DataFrame, whole: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of ``met`` whose sets reach a similarity of ``least``; ``whole``: (id, shingles). A set goes once to each bin that has pairs of it."""
+    kind = met.schema["a"].dataType.simpleString()
+    dealt = stored(binned(met), "bins")
+    asked = dealt.select("bin", F.col("a").alias("id")).unionAll(dealt.select("bin", "b")).distinct()
+    none = F.lit(None)
+    have = asked.join(whole, "id").select("bin", F.lit(0).alias("kind"), F.col("id").alias("a"), none.cast(kind).alias("b"), "shingles")
+    rows = have.unionAll(dealt.select("bin", F.lit(1).alias("kind"), "a", "b", none.cast("binary").alias("shingles")))
+    parts = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ready = rows.repartition(parts, F.xxhash64("bin")).sortWithinPartitions("bin", "kind")
+
+    def alike(x: np.ndarray, y: np.ndarray) -> bool:
+        both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= least * max(len(x), len(y)) else 0
+        return both >= least * (len(x) + len(y) - both)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep: list[tuple] = []
+        for g in runs_of(batches, "bin"):
+            sets: dict = {}
+            for pair, a, b, shingles in zip(g["kind"], g["a"], g["b"], g["shingles"], strict=True):
+                if pair:
+                    if any(alike(x, y) for x in sets[a] for y in sets[b]):
+                        keep.append((a, b))
+                else:
+                    sets.setdefault(a, []).append(np.frombuffer(shingles, "<u8"))  # an id may have several texts
+            if len(keep) > 10_000:
+                yield pd.DataFrame(keep, columns=["a", "b"])
+                keep = []
+        yield pd.DataFrame(keep, columns=["a", "b"])
+
+    out = stored(ready.mapInPandas(run, f"a {kind}, b {kind}").distinct(), "links")
+    forget(dealt)
+    return out
+
+
 def several(groups: DataFrame, joined: DataFrame) -> DataFrame:
     """Groups (group, id, c: its class so far) whose members are not all joined yet; of groups of the same members one."""
     named = groups.select("group", "id").join(joined, groups["id"] == joined["node"], "left").select("group", "id", F.coalesce("component", "id").alias("c"))
@@ -369,10 +470,10 @@ def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> Dat
     """(doc_id, component_id): classes joined by pairs whose shingle sets have a Jaccard similarity of ``least`` or more.
 
     Texts of equal sets are one class at once. Others meet in bands of min-hashes, and each pair that meets is compared
-    by its whole sets. In a band of more than ``SMALL_BAND`` classes all are compared with a few of it first, drawn anew in each band, which
+    by its whole sets, if their sizes allow it. In a band of more than ``SMALL_BAND`` classes all are compared with a few of it first, drawn anew in each band, which
     joins near copies at a fixed number of pairs a member. In bands that still hold several classes the fingerprints of all members are
-    compared by bit planes, as operator 4 does, and pairs within ``reach`` are compared by their whole sets; bands of more than ``GROUP``
-    members are parted by ``parted`` into such groups first. Rows with a null id have no class.
+    compared by bit planes, as operator 4 does, and pairs within ``reach`` by their whole sets, which come to the band's task once: no pair leaves it but links that
+    join two classes. Bands beyond ``GROUP`` are parted by ``parted`` into such groups first. Rows with a null id have no class.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -380,24 +481,13 @@ def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> Dat
         for b in batches:
             got = [shingle_set(t, size) for t in b["text"]]
             same = [xxhash.xxh3_128_hexdigest(g.astype("<u8").tobytes()) for g in got]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "same": same, "bands": [band_hashes(g).view(np.int64) if len(g) else [] for g in got]})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "same": same, "size": [len(g) for g in got], "bands": [band_hashes(g).view(np.int64) if len(g) else [] for g in got]})
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = [shingle_set(t, size).astype("<u8").tobytes() for t in b["text"]]
             yield pd.DataFrame({"id": b["doc_id"], "shingles": got})
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            keep = []
-            for x, y in zip(b["x"], b["y"], strict=True):
-                n, m = len(x) // 8, len(y) // 8
-                both = 0
-                if min(n, m) >= least * max(n, m):
-                    both = len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True))
-                keep.append(both >= least * (n + m - both))
-            yield b.loc[keep, ["a", "b"]]
-
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"id": b["doc_id"], "shingles": [shingle_set(t, size).view(np.int64) for t in b["text"]]})
@@ -405,28 +495,27 @@ def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> Dat
     def printed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = [shingle_set(t, size) for t in b["text"]]
-            yield pd.DataFrame({"id": b["doc_id"], "size": [len(g) for g in got], "print": [wide_print(g).astype("<u8").tobytes() for g in got]})
+            yield pd.DataFrame({"id": b["doc_id"], "size": [len(g) for g in got], "print": [wide_print(g).astype("<u8").tobytes() for g in got], "shingles": [g.astype("<u8").tobytes() for g in got]})
 
     def compared(met: DataFrame) -> DataFrame:
         """Pairs of (a, b) that reach ``least``. Sets are made anew for the documents that meet another, which is far less to move than all sets."""
         asked = met.select(F.col("a").alias("id")).unionAll(met.select("b")).distinct()
         whole = stored(texts.join(asked, texts["doc_id"] == asked["id"], "left_semi").mapInPandas(sets, f"id {kind}, shingles binary").distinct(), "sets")
-        left = met.join(whole.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
-        pairs = left.join(whole.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-        out = stored(pairs.mapInPandas(compare, f"a {kind}, b {kind}").distinct(), "links")
+        out = reaching(met, whole, least)
         forget(whole)
         return out
 
     texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
-    own = stored(texts.mapInPandas(signed, f"doc_id {kind}, same string, bands array<long>"), "signed")
-    named = stored(own.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
-    dealt = named.select("rep", F.explode("bands").alias("band")).distinct()
+    own = stored(texts.mapInPandas(signed, f"doc_id {kind}, same string, size int, bands array<long>"), "signed")
+    named = stored(own.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")), "classes")
+    dealt = named.select("rep", "size", F.explode("bands").alias("band"))
     shared = dealt.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("band")
     some = stored(dealt.join(shared, "band"), "shared")
     drawn = some.withColumn("nth", F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("rep", "band"), "rep"))).filter(F.col("nth") <= SMALL_BAND + 1)
     sized = drawn.withColumn("n", F.max("nth").over(Window.partitionBy("band"))).filter((F.col("n") <= SMALL_BAND) | (F.col("nth") <= HUBS))
-    hubs = stored(sized.select("band", F.col("rep").alias("hub")), "hubs")
-    met = some.join(hubs, "band").filter("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    hubs = stored(sized.select("band", F.col("rep").alias("hub"), F.col("size").alias("hub_size")), "hubs")
+    alike = F.least("size", "hub_size") >= least * F.greatest("size", "hub_size")
+    met = some.join(hubs, "band").filter(alike & (F.col("rep") != F.col("hub"))).select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     met = stored(met, "met")
     links = compared(met)
     forget(met)
@@ -439,29 +528,28 @@ def similar_documents(docs: DataFrame, least: float = 0.8, size: int = 5) -> Dat
     else:
         ids = groups.select("id").distinct()
         asked = texts.join(ids, texts["doc_id"] == ids["id"], "left_semi")
-        prints = stored(asked.mapInPandas(printed, f"id {kind}, size int, print binary").dropDuplicates(["id"]), "prints")
+        prints = stored(asked.mapInPandas(printed, f"id {kind}, size int, print binary, shingles binary").dropDuplicates(["id"]), "prints")
         arrays = None
         while not groups.isEmpty():
-            sizes = groups.groupBy("group").agg(F.count("*").alias("n"))
-            few = close_pairs(groups.join(sizes.filter(F.col("n") <= GROUP).select("group"), "group"), prints, least)
-            large = stored(groups.join(sizes.filter(F.col("n") > GROUP).select("group"), "group"), "large")
-            if large.isEmpty():
-                met = stored(few, "met")
-            else:
-                if arrays is None:
-                    ids = large.select("id").distinct()
-                    arrays = stored(texts.join(ids, texts["doc_id"] == ids["id"], "left_semi").mapInPandas(listed, f"id {kind}, shingles array<long>").dropDuplicates(["id"]), "arrays")
-                more, smaller = parted(large.select("group", "id"), arrays, least)
-                met = stored(few.unionAll(more).distinct(), "met")
-                forget(more)
-            fresh = compared(met)
-            joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(fresh), "a", "b")
-            forget(groups, met, fresh)
+            within = groups.join(prints.select("id", "size"), "id").groupBy("group").agg(F.count("*").alias("n"), F.sum("size").alias("all"))
+            within = within.select("group", ((F.col("n") <= GROUP) & (F.col("all") <= GROUP_SHINGLES)).alias("fits"))
+            few = stored(close_pairs(groups.join(within.filter("fits").select("group"), "group"), prints, least), "links")
+            large = stored(groups.join(within.filter("NOT fits").select("group"), "group"), "large")
+            joined = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(few)
             if large.isEmpty():
+                joined = components(joined, "a", "b")
+                forget(groups, few, large)
                 break
-            forget(large)
+            if arrays is None:
+                ids = large.select("id").distinct()
+                arrays = stored(texts.join(ids, texts["doc_id"] == ids["id"], "left_semi").mapInPandas(listed, f"id {kind}, shingles array<long>").dropDuplicates(["id"]), "arrays")
+            met, smaller = parted(large.select("group", "id"), arrays, least)
+            fresh = compared(met)
+            joined = components(joined.unionAll(fresh), "a", "b")
+            forget(groups, large, met, few, fresh)
             groups = several(smaller, joined)
             forget(smaller)
+        forget(prints)
         found = joined
     classes = named.join(found, named["rep"] == found["node"], "left").select("same", F.coalesce("component", "rep").alias("component_id"))
     return own.select("doc_id", "same").join(classes, "same").select("doc_id", "component_id")
