@@ -2,6 +2,8 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline as cp
+from tidemark.llm import substrings
+from tidemark.llm.common import stored
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -84,3 +86,24 @@ def test_near_duplicates_are_those_of_shingle_similarity(spark):
     rows = [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)]
     got = cp.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int"), SMALL)
     assert {r.doc_id for r in got.collect()} == brute_classes([t for _, t, *_ in rows])
+
+
+def test_substring_stage_stores_shared_seeds_only_and_joins_texts_once(spark, monkeypatch):
+    sizes = {}
+
+    def counted(df, what):
+        out = stored(df, what)
+        sizes[what] = out.count()
+        return out
+
+    monkeypatch.setattr(substrings, "stored", counted)
+    own = lambda i, n: [f"w{i}x{k}" for k in range(n)]
+    shared = own("all", 60)
+    rows = [(i, " ".join(own(i, 500) + (shared if i < 2 else [])), "en", "s", 7) for i in range(40)] + [(None, " ".join(shared), "en", "s", 7), (50, None, "en", "s", None), (51, "", "en", "s", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    got = cp.substring_stage(spark, docs, "")
+    assert sum(sizes.values()) < 300  # 3,000 seeds are of one document
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter, (doc_id") == 1
+    want = [(i, " ".join(own(1, 500)) + " ", "en", "s", len(" ".join(own(1, 500))) + 1) if i == 1 else (i, *rest) for i, *rest in rows]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert got.schema["n_chars"].dataType == docs.schema["n_chars"].dataType

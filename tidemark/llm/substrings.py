@@ -17,7 +17,8 @@
    came from; passages of ``MIN_WORDS`` words or more are returned.
 
 The first document keeps its passage; later ones are listed. What is tied by seed is a partial aggregate and joins that
-adaptive execution splits; no order of a seed's holders is needed, so results don't turn on how many there are. Each text goes to Python twice: for its seeds, and for all of its stretches at once.
+adaptive execution splits; no order of a seed's holders is needed, so results don't turn on how many there are. Each text goes to Python three
+times: twice for its seeds, which are too many to store, and for all of its stretches at once.
 
 Defined cases: null or empty texts have no seed; rows with a null id are left out; repeated rows of one id count as
 one document, of which the longest text is aligned; passages repeated inside one document only are not reported; words
@@ -140,10 +141,10 @@ def ties(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         own = rows.groupBy(*key).agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("last"), F.count("*").cast("int").alias(f"{name}_n"))
         return stored(own.filter("f.doc_id < last").select(*key, F.col("f.doc_id").alias(f"{name}_ref"), F.col("f.pos").alias(f"{name}_pos"), f"{name}_n"), name)
 
-    seeds = stored(sketch(docs), "seeds")
+    seeds = sketch(docs)  # made twice and not stored: most seeds are of one document and would take more disk than the texts
     firsts = holders(seeds, "seed", "seed")
     some = stored(seeds.join(firsts, "seed"), "some")
-    forget(seeds, firsts)
+    forget(firsts)
     runs = holders(some.filter("run <> 0"), "run", "seed", "run")
     tied = F.coalesce(F.col("run_ref") < F.col("doc_id"), F.lit(False))
     known = stored(some.join(runs.drop("run_n"), ["seed", "run"], "left").withColumn("tied", tied).drop("run"), "known")
