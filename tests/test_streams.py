@@ -42,6 +42,28 @@ def test_bars_without_news_come_out_once_and_late_news_is_dropped(spark, tmp_pat
     assert held <= 3  # C, D and their news; what the watermark has passed is gone
 
 
+def test_joined_streams_meet_by_ticker_and_time(spark):
+    """Both ends of windows at and beside the edges of buckets, and bars of unlisted intervals, equal a plain range join; the key has the time in it."""
+    edge, rows, articles = streams.SPAN * 35 * MINUTE * 200_000, [], []
+    for k, off in enumerate((-36, -35, -30, -5, -1, 0, 1, 5, 30, 35, 36)):
+        for name in ("5m", "1d", "15m", "other", None):
+            rows.append(("A", name, edge + off * MINUTE))
+        articles += [("A", f"n{k}{d}", edge + off * MINUTE + d) for d in (-1, 0, 1)]
+    rows += [("A", "5m", None), (None, "5m", edge), ("B", "5m", edge)]
+    articles += [("A", "none", None), (None, "nobody", edge)]
+    bars, news = spark.createDataFrame(rows, BAR), spark.createDataFrame(articles, NEWS)
+    for intervals in (["5m"], ["5m", "1d"], None):
+        back, ahead = (max(fusion.FUSION_WINDOWS[i][side] for i in intervals or fusion.FUSION_WINDOWS) for side in (0, 1))
+        b = fusion.with_windows(bars).alias("b")
+        first, last = (F.least(c, F.lit(most)) * MINUTE for c, most in (("lookback_min", back), ("lookahead_min", ahead)))
+        near = (F.col("b.ticker") == F.col("n.ticker")) & F.col("published_ms").between(F.col("ref_ms") - first, F.col("ref_ms") + last)
+        want = b.join(news.alias("n"), near, "left").select("b.ticker", "interval", "timestamp_ms", "dedup_key", ((F.col("published_ms") - F.col("ref_ms")) / MINUTE).alias("offset_min"))
+        got = streams.fuse_join(bars, news, intervals=intervals)
+        assert got.count() > 60 and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+        keys = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [" in line]
+        assert keys and all("bucket" in line for line in keys)
+
+
 def test_two_tables_get_a_batch_once_though_it_fails_between_them(spark, tmp_path):
     landed, a, b, book, check = (str(tmp_path / x) for x in ("in", "a", "b", "ledger", "check"))
     land(spark, landed, [("A", "5m", T0), ("B", "5m", T0)], BAR)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -15,6 +15,10 @@ from tidemark.operators import articles, fusion, sentiment, store
 from tidemark.sources import readers
 from tidemark.streaming.ledger import committed, stored_rows, write_tables
 
+MINUTE = 60_000
+#: Windows that a bucket of time is wide in a join of streams: an article is held 1 + 1 / SPAN times on average.
+SPAN = 4
+
 
 def table_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None, file_format: str = "parquet") -> DataFrame:
     """A directory of landed files as a stream."""
@@ -54,14 +58,33 @@ def fuse_join(bars: DataFrame, news: DataFrame, late: str = "10 minutes", interv
 
     A bar without news comes out once, when the watermark has passed the end of its window; later news is dropped. State is held for the
     widest window of ``intervals`` (of all known ones if not given), so streams of short bars hold little.
+
+    Time is cut into buckets of ``SPAN`` windows, which are part of the key: a row meets what is held of its ticker in a bucket, not all of it. A bar
+    goes to the bucket that its window starts in, an article to those whose bars can reach it: its own, and the one before if it lies less than a window behind the edge.
     """
-    back, ahead = (max(FUSION_WINDOWS[i][side] for i in intervals or FUSION_WINDOWS) for side in (0, 1))
+    known = {i: FUSION_WINDOWS[i] for i in intervals or FUSION_WINDOWS}
+    back, ahead = (max(w[side] for w in known.values()) for side in (0, 1))
     ref = reference_ms(F.col("interval"), F.col("timestamp_ms"))
-    b = bars.select(F.col("ticker").alias("b_ticker"), "interval", "timestamp_ms", F.timestamp_millis(ref).alias("bar_time"), window_minutes(F.col("interval"), 0).alias("back"), window_minutes(F.col("interval"), 1).alias("ahead")).withWatermark("bar_time", late)
-    n = news.select(F.col("ticker").alias("n_ticker"), "dedup_key", F.timestamp_millis("published_ms").alias("news_time")).withWatermark("news_time", late)
+    start = ref - F.least(window_minutes(F.col("interval"), 0), F.lit(back)) * MINUTE
+    end = ref + F.least(window_minutes(F.col("interval"), 1), F.lit(ahead)) * MINUTE
+    width = F.lit(back + ahead)  # of bars of other intervals, whose windows are cut to the widest
+    for i, both in known.items():
+        width = F.when(F.col("interval") == i, F.lit(sum(both))).otherwise(width)
+    bucket = lambda ms, width: F.floor(ms / (width.cast("long") * SPAN * MINUTE)).cast("long")
+    b = bars.select(
+        F.col("ticker").alias("b_ticker"), "interval", "timestamp_ms", F.timestamp_millis(ref).alias("bar_time"), F.timestamp_millis(start).alias("from_time"), F.timestamp_millis(end).alias("to_time"),
+        width.alias("b_width"), bucket(start, width).alias("b_bucket"),
+    ).withWatermark("bar_time", late)
+    at, widths = F.col("published_ms"), sorted({back + ahead, *map(sum, known.values())})
+
+    def reached(w: int) -> Column:
+        return F.transform(F.sequence(bucket(at - w * MINUTE, F.lit(w)), bucket(at, F.lit(w))), lambda x: F.struct(F.lit(w).alias("width"), x.alias("bucket")))
+
+    n = news.select(F.col("ticker").alias("n_ticker"), "dedup_key", F.timestamp_millis(at).alias("news_time"), F.explode(F.flatten(F.array(*map(reached, widths)))).alias("spot"))
+    n = n.select("n_ticker", "dedup_key", "news_time", F.col("spot.width").alias("n_width"), F.col("spot.bucket").alias("n_bucket")).withWatermark("news_time", late)
     near = F.expr(
-        f"b_ticker = n_ticker AND news_time >= bar_time - INTERVAL {back} MINUTES AND news_time <= bar_time + INTERVAL {ahead} MINUTES"
-        " AND news_time >= bar_time - make_interval(0, 0, 0, 0, 0, back) AND news_time <= bar_time + make_interval(0, 0, 0, 0, 0, ahead)"
+        f"b_ticker = n_ticker AND b_width = n_width AND b_bucket = n_bucket AND news_time >= bar_time - INTERVAL {back} MINUTES AND news_time <= bar_time + INTERVAL {ahead} MINUTES"
+        " AND news_time >= from_time AND news_time <= to_time"
     )
     return b.join(n, near, "leftOuter").select(F.col("b_ticker").alias("ticker"), "interval", "timestamp_ms", "dedup_key", ((F.unix_millis("news_time") - F.unix_millis("bar_time")) / 60_000).alias("offset_min"))
 
