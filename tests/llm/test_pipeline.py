@@ -107,3 +107,16 @@ def test_substring_stage_stores_shared_seeds_only_and_joins_texts_once(spark, mo
     want = [(i, " ".join(own(1, 500)) + " ", "en", "s", len(" ".join(own(1, 500))) + 1) if i == 1 else (i, *rest) for i, *rest in rows]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
     assert got.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+
+
+def test_near_duplicates_are_judged_by_text_whatever_their_ids(spark):
+    prose = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdefgh"]
+    rows = [(None, prose[0]), (None, prose[0]), (None, prose[0] + " end")]  # nothing but rows without an id: one stays
+    rows += [(None, prose[1]), (9, prose[1]), (7, prose[1] + " end")]  # an id goes first
+    rows += [(7, prose[2]), (3, prose[3]), (7, prose[3] + " end"), (7, prose[4])]  # one text of id 7 is near that of id 3, the others are near none
+    rows += [(8, prose[5]), (8, prose[5]), (8, prose[5] + " end")]  # one id, one class
+    rows += [(None, None), (None, ""), (20, ""), (2**60 + 1, prose[6] + " end"), (2**60, prose[6]), (None, prose[7])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    got = [(r.doc_id, r.text.removesuffix(" end")) for r in cp.near_duplicate_stage(spark, docs.repartition(4), SMALL).collect()]
+    want = [(None, prose[0]), (7, prose[1]), (7, prose[2]), (3, prose[3]), (7, prose[4]), (8, prose[5]), (20, ""), (2**60, prose[6]), (None, prose[7])]
+    assert sorted(got, key=str) == sorted(want, key=str)

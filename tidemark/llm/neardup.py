@@ -397,9 +397,8 @@ def reaching(met: DataFrame, whole: DataFrame, least: float) -> DataFrame:
     kind = met.schema["a"].dataType.simpleString()
     dealt = stored(binned(met), "bins")
     asked = dealt.select("bin", F.col("a").alias("id")).unionAll(dealt.select("bin", "b")).distinct()
-    none = F.lit(None)
-    have = asked.join(whole, "id").select("bin", F.lit(0).alias("kind"), F.col("id").alias("a"), none.cast(kind).alias("b"), "shingles")
-    rows = have.unionAll(dealt.select("bin", F.lit(1).alias("kind"), "a", "b", none.cast("binary").alias("shingles")))
+    have = asked.join(whole, "id").select("bin", F.lit(0).alias("kind"), F.col("id").alias("a"), F.col("id").alias("b"), "shingles")  # a null id would make pandas round all
+    rows = have.unionAll(dealt.select("bin", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("shingles")))
     parts = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ready = rows.repartition(parts, F.xxhash64("bin")).sortWithinPartitions("bin", "kind")
 
